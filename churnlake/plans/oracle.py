@@ -19,6 +19,13 @@ def fdays(later: str, earlier: str) -> str:
 
 
 PRELUDE = f"""
+scored AS (
+  SELECT l_orderkey * 8 + l_linenumber AS id, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_discount * 10 AS p
+  FROM lineitem),
+sc AS (SELECT p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY p),
+thr AS (
+  SELECT p, pos, neg, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(neg) OVER (ORDER BY p DESC) AS fp,
+    sum(pos) OVER () AS "n_pos", sum(neg) OVER () AS "n_neg" FROM sc),
 raw_users AS (
   SELECT c.c_custkey AS user_id,
     CASE WHEN c.c_custkey % 41 = 5 THEN 'not-a-date'
