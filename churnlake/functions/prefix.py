@@ -100,6 +100,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
 
 
 def scalar_quantile(df: DataFrame, value_col: str, q: float = 0.5) -> Column:
-    """Exact quantile of a column as a scalar-subquery Column (lazy; Spark
-    runs it as a separate job and inlines the one value)."""
-    return exact_quantiles(df, value_col, [q]).select("value").scalar()
+    """Exact quantile of a column, fitted by its own job, as a double
+    literal (NULL when the column has no values)."""
+    from churnlake.functions.stats import lit_value
+    return lit_value(exact_quantiles(df, value_col, [q]), F.max("value"), "double")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.columns import ts_lit
 from churnlake.functions.prefix import scalar_quantile
+from churnlake.functions.stats import lit_value, one_row
 from churnlake.params import Params
 
 ENGAGEMENT_COUNTERS = ["app_logins", "recipes_viewed", "meals_skipped", "support_tickets", "referral_clicks"]
@@ -35,8 +36,9 @@ def mode_value(df: DataFrame, col: str) -> Column:
     """Most frequent non-NULL value, smallest on ties, as a scalar subquery.
     Counted with a partial aggregate, so one frequent value stays cheap."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
-    top = counts.select(F.max("__n")).scalar()
-    return counts.where(F.col("__n") == top).select(F.min(col)).scalar()
+    best = one_row(counts.agg(F.min_by(col, F.struct((-F.col("__n")).alias("n"), F.col(col).alias("v")))
+                              .alias("m")))["m"]
+    return F.lit(best).cast(df.schema[col].dataType)
 
 
 def clean_users(users: DataFrame, params: Params = Params(), flag_col: str | None = None) -> DataFrame:
@@ -53,7 +55,7 @@ def clean_users(users: DataFrame, params: Params = Params(), flag_col: str | Non
 
 
 def min_signup(users_clean: DataFrame) -> Column:
-    return users_clean.select(F.min("signup_date")).scalar()
+    return lit_value(users_clean, F.min("signup_date"), "timestamp")
 
 
 def clean_orders(orders: DataFrame, min_date, max_date, params: Params = Params(),
@@ -127,11 +129,11 @@ def clean_profile(pairs: dict[str, tuple[DataFrame, DataFrame]], flag_col: str =
     side, no second pass over the cleaned rows."""
     out = None
     for name, (raw, cleaned) in pairs.items():
-        n_in = raw.agg(F.count(F.lit(1)).alias("rows_in"))
-        kept = cleaned.agg(F.count(F.lit(1)).alias("rows_kept"),
-                           F.count_if(F.col(flag_col)).alias("rows_filled"))
-        row = (n_in.select(F.lit(name).alias("table_name"), "rows_in",
-                           kept.select("rows_kept").scalar().alias("rows_kept"),
-                           kept.select("rows_filled").scalar().alias("rows_filled")))
+        n_in = one_row(raw.agg(F.count(F.lit(1)).alias("rows_in")))
+        kept = one_row(cleaned.agg(F.count(F.lit(1)).alias("rows_kept"),
+                                   F.count_if(F.col(flag_col)).alias("rows_filled")))
+        row = raw.sparkSession.createDataFrame(
+            [(name, n_in["rows_in"], kept["rows_kept"], kept["rows_filled"])],
+            "table_name string, rows_in bigint, rows_kept bigint, rows_filled bigint")
         out = row if out is None else out.unionByName(row)
     return out

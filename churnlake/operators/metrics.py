@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.columns import round_half_even
 from churnlake.functions.prefix import prefix_sums
+from churnlake.functions.stats import one_row
 
 
 def score_counts(df: DataFrame, y: str = "y", p: str = "p", group_cols: Sequence[str] = ()) -> DataFrame:
@@ -34,10 +35,10 @@ def threshold_table(df: DataFrame, y: str = "y", p: str = "p", group_cols: Seque
         tot = sc.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
         return (cum.join(tot, list(group_cols), "left")
                    .withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp"))
-    P = sc.select(F.sum("pos")).scalar()
-    N = sc.select(F.sum("neg")).scalar()
+    tot = one_row(sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
     return (cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-               .withColumn("n_pos", P).withColumn("n_neg", N))
+               .withColumn("n_pos", F.lit(tot["P"]).cast("bigint"))
+               .withColumn("n_neg", F.lit(tot["N"]).cast("bigint")))
 
 
 def _r(c: Column, digits: int | None) -> Column:
@@ -103,23 +104,26 @@ def lift_at_k(df: DataFrame, k: float, y: str = "y", p: str = "p", id_col: str =
 
     Never sorts all rows: the cut is found on the per-score prefix counts;
     only the rows of the one score that straddles the cut are ordered by id
-    (again with range-partitioned prefix sums)."""
+    (again with range-partitioned prefix sums).  The cut is a one-row fit
+    collected to the driver; the result is one row."""
     sc = score_counts(df, y, p).withColumn("cnt", F.col("pos") + F.col("neg"))
     cum = prefix_sums(sc, "p", ["cnt", "pos"], descending=True)
-    n = sc.select(F.sum("cnt")).scalar()
-    total_pos = sc.select(F.sum("pos")).scalar()
-    n_top = F.greatest(F.floor(n * F.lit(float(k))), F.lit(1))
-    cut = cum.where(F.col("cum_cnt") >= n_top).agg(
-        F.max_by(F.struct("p", "pos", "cnt", "cum_cnt", "cum_pos"), "p").alias("c"))
-    cut_p = cut.select("c.p").scalar()
-    above_pos = cut.select(F.col("c.cum_pos") - F.col("c.pos")).scalar()
-    above_cnt = cut.select(F.col("c.cum_cnt") - F.col("c.cnt")).scalar()
-    tied = (df.where(F.col(p) == cut_p)
-              .select(F.col(id_col).alias("id"), F.col(y).cast("bigint").alias("pos"), F.lit(1).alias("one")))
-    tied_cum = prefix_sums(tied, "id", ["one", "pos"])
-    need = n_top - above_cnt
-    tied_pos = tied_cum.where(F.col("cum_one") <= need).agg(F.coalesce(F.max("cum_pos"), F.lit(0))).scalar()
-    in_top = above_pos + tied_pos
+    tot = one_row(sc.agg(F.sum("cnt").alias("n"), F.sum("pos").alias("pos")))
+    n, total_pos = tot["n"] or 0, tot["pos"] or 0
+    n_top = max(1, int(n * float(k)))
+    cut = one_row(cum.where(F.col("cum_cnt") >= n_top).agg(
+        F.max_by(F.struct("p", "pos", "cnt", "cum_cnt", "cum_pos"), "p").alias("c")))["c"]
+    in_top = 0
+    if cut is not None:
+        above_pos, above_cnt = cut["cum_pos"] - cut["pos"], cut["cum_cnt"] - cut["cnt"]
+        tied = (df.where(F.col(p) == F.lit(cut["p"]))
+                  .select(F.col(id_col).alias("id"), F.col(y).cast("bigint").alias("pos"), F.lit(1).alias("one")))
+        tied_cum = prefix_sums(tied, "id", ["one", "pos"])
+        need = n_top - above_cnt
+        tied_pos = one_row(tied_cum.where(F.col("cum_one") <= need)
+                           .agg(F.coalesce(F.max("cum_pos"), F.lit(0)).alias("v")))["v"]
+        in_top = above_pos + tied_pos
+    n_top, in_top, total_pos = F.lit(n_top), F.lit(in_top), F.lit(total_pos)
     lift = F.when(total_pos > 0, in_top / total_pos / F.lit(float(k))).otherwise(F.lit(0.0))
     return df.sparkSession.range(1).select(F.lit(float(k)).alias("k"), n_top.cast("bigint").alias("n_top"),
                                            in_top.cast("bigint").alias("churners_in_top"),

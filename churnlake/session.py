@@ -19,7 +19,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """
     b = SparkSession.builder.appName(app_name)
     if master:
-        b = b.master(master)
+        # Local runs only: a cluster sizes the driver through spark-submit.
+        b = b.master(master).config("spark.driver.memory", "8g")
     b = (b.config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
