@@ -60,17 +60,19 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
-                    group_cols: Sequence[str] = (), n_ranges: int = 64) -> DataFrame:
+                    group_cols: Sequence[str] = (), n_ranges: int = 64,
+                    weight_col: str | None = None) -> DataFrame:
     """One row per (group, q): columns ``*group_cols, q, value``.
 
     Linear interpolation between the order statistics at floor/ceil of
     ``q * (n - 1)``.  NULL values are ignored; a group without values gives no
-    rows.
+    rows.  ``weight_col`` gives pre-aggregated counts per row.
     """
     df, gcols = _group_cols(df, group_cols)
     counts = (df.where(F.col(value_col).isNotNull())
                 .groupBy(*gcols, F.col(value_col).cast("double").alias("__v"))
-                .agg(F.count(F.lit(1)).alias("__n")))
+                .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("__n"))
+                .where(F.col("__n") > 0))
     cum = prefix_sums(counts, "__v", ["__n"], gcols, n_ranges=n_ranges)
     totals = counts.groupBy(*gcols).agg(F.sum("__n").alias("__total"))
     qarr = F.array(*[F.lit(float(q)) for q in qs])

@@ -60,3 +60,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_dir(prefix: str = "churnlake-") -> str:
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for written tables under the shared checkpoint folder
+    (``spark.checkpoint.dir``); only when none is configured (local runs,
+    tests) under a scratch folder."""
+    import uuid
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
