@@ -8,10 +8,16 @@ adds the running sum inside each range.  Results are exact; the approximate
 quantiles only decide the partitioning, so a heavy group is spread over many
 tasks and no task ever holds a whole group.
 
+The range boundaries are a bounded fit (``n_ranges - 1`` numbers per group;
+groups here are features, classes or models, never users) collected once and
+compiled into a ``CASE WHEN`` -- code-generated, unlike per-row array
+lambdas.
+
 ``exact_quantiles``: interpolated quantiles (numpy / pandas / DuckDB
-``quantile_cont`` semantics) from per-value counts and their prefix sums.
-Unlike Spark's ``percentile`` aggregate it never buffers a group's values in
-one task.
+``quantile_cont`` semantics) from per-value counts and their prefix sums:
+the value at 0-based rank r is the smallest value whose inclusive running
+count exceeds r, one conditional ``min`` per target rank.  Unlike Spark's
+``percentile`` aggregate it never buffers a group's values in one task.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _G = "__grp"
+MAX_CASE_BRANCHES = 20000
 
 
 def _group_cols(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -30,6 +37,26 @@ def _group_cols(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, li
     return df.withColumn(_G, F.lit(0)), [_G]
 
 
+def range_index(key: Column, bounds: Sequence[float]) -> Column:
+    """Number of ``bounds`` (sorted) strictly below ``key``."""
+    expr = None
+    for i, b in enumerate(bounds):
+        cond = key <= F.lit(float(b))
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return F.lit(0) if expr is None else expr.otherwise(F.lit(len(bounds)))
+
+
+def grouped_case(gcols: Sequence[str], per_group: dict, build) -> Column:
+    """CASE over group values: ``build(value)`` for the matching group."""
+    expr = None
+    for gval, v in per_group.items():
+        cond = F.lit(True)
+        for c, x in zip(gcols, gval):
+            cond = cond & (F.col(c) == F.lit(x))
+        expr = F.when(cond, build(v)) if expr is None else expr.when(cond, build(v))
+    return F.lit(None) if expr is None else expr
+
+
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
                 n_ranges: int = 64, accuracy: int = 10000,
@@ -40,17 +67,24 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     key = -F.col(order_col) if descending else F.col(order_col)
     df = df.withColumn("__key", key.cast("double"))
     fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
-    bounds = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"))
-    ranged = (df.join(bounds, gcols, "left")
-                .withColumn("__range", F.size(F.filter("__bounds", lambda b: b < F.col("__key"))))
-                .drop("__bounds"))
+    fitted = {tuple(r[c] for c in gcols): sorted(set(x for x in (r["__bounds"] or []) if x is not None))
+              for r in df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy)
+                                              .alias("__bounds")).collect()}
+    if sum(len(b) + 1 for b in fitted.values()) <= MAX_CASE_BRANCHES:
+        rng = grouped_case(gcols, fitted, lambda b: range_index(F.col("__key"), b))
+        ranged = df.withColumn("__range", F.coalesce(rng, F.lit(0)))
+    else:   # very many groups: join the boundaries instead of compiling them
+        bounds = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"))
+        ranged = (df.join(bounds, gcols, "left")
+                    .withColumn("__range", F.size(F.filter("__bounds", lambda b: b < F.col("__key"))))
+                    .drop("__bounds"))
     totals = ranged.groupBy(*gcols, "__range").agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
     wr = Window.partitionBy(*gcols).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*gcols, "__range",
                             *[F.coalesce(F.sum(f"__tot_{c}").over(wr), F.lit(0)).alias(f"__off_{c}")
                               for c in sum_cols])
     wi = Window.partitionBy(*gcols, "__range").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-    out = (ranged.join(offsets, [*gcols, "__range"], "left")
+    out = (ranged.join(F.broadcast(offsets), [*gcols, "__range"], "left")
                  .select(*[F.col(c) for c in ranged.columns if c not in ("__key", "__range")],
                          *[(F.sum(c).over(wi) + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
                            for c in sum_cols]))
@@ -75,27 +109,19 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
                 .where(F.col("__n") > 0))
     cum = prefix_sums(counts, "__v", ["__n"], gcols, n_ranges=n_ranges)
     totals = counts.groupBy(*gcols).agg(F.sum("__n").alias("__total"))
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    # Each distinct value covers 0-based ranks [cum - n, cum).  Emit the
-    # (q, lo/hi) targets that fall inside; at most 2 * len(qs) per group.
-    tgt = F.filter(
-        F.flatten(F.transform(qarr, lambda q: F.array(
-            F.struct(q.alias("q"), F.lit(0).alias("hi"),
-                     F.floor(q * (F.col("__total") - 1)).alias("r"),
-                     (q * (F.col("__total") - 1) - F.floor(q * (F.col("__total") - 1))).alias("frac")),
-            F.struct(q.alias("q"), F.lit(1).alias("hi"),
-                     F.ceil(q * (F.col("__total") - 1)).alias("r"),
-                     (q * (F.col("__total") - 1) - F.floor(q * (F.col("__total") - 1))).alias("frac"))))),
-        lambda t: (t["r"] >= F.col("cum___n") - F.col("__n")) & (t["r"] < F.col("cum___n")))
-    hits = (cum.join(totals, gcols, "left")
-               .select(*gcols, "__v", F.explode(tgt).alias("t"))
-               .select(*gcols, "__v", "t.q", "t.hi", "t.frac"))
-    res = (hits.groupBy(*gcols, "q")
-               .agg(F.max(F.when(F.col("hi") == 0, F.col("__v"))).alias("__lo"),
-                    F.max(F.when(F.col("hi") == 1, F.col("__v"))).alias("__hi"),
-                    F.max("frac").alias("__frac"))
-               .select(*gcols, "q", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__frac"))
-                       .alias("value")))
+    pos = [F.lit(float(q)) * (F.col("__total") - 1) for q in qs]
+    # value at rank r = smallest value whose inclusive running count > r
+    aggs = []
+    for i, p in enumerate(pos):
+        aggs.append(F.min(F.when(F.col("cum___n") > F.floor(p), F.col("__v"))).alias(f"__lo{i}"))
+        aggs.append(F.min(F.when(F.col("cum___n") > F.ceil(p), F.col("__v"))).alias(f"__hi{i}"))
+        aggs.append(F.first(p - F.floor(p)).alias(f"__fr{i}"))
+    per = cum.join(F.broadcast(totals) if group_cols else totals, gcols, "left").groupBy(*gcols).agg(*aggs)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(float(q)).alias("q"),
+                 (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__fr{i}")).alias("value"))
+        for i, q in enumerate(qs)]))
+    res = per.select(*gcols, rows.alias("r")).select(*gcols, "r.q", "r.value")
     if not group_cols:
         res = res.drop(_G)
     return res

@@ -39,9 +39,9 @@ def monitored_columns(df: DataFrame, monitored: Sequence[str] = MONITORED_FEATUR
 
 
 def _long(df: DataFrame, features: Sequence[str], batch_cols: Sequence[str] = ()) -> DataFrame:
-    x = df.select(*batch_cols, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])).alias("x"))
-    return x.select(*batch_cols, "x.feature", "x.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    typed = df.select(*batch_cols, *[F.col(f).cast("double").alias(f) for f in features])
+    x = typed.unpivot(list(batch_cols), list(features), "feature", "value")
+    return x.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def value_counts(ref: DataFrame, cur: DataFrame, features: Sequence[str],
@@ -80,18 +80,38 @@ def ks_test(counts: DataFrame, batch_cols: Sequence[str] = (), terms: int = 100)
 def psi(counts: DataFrame, batch_cols: Sequence[str] = (), n_bins: int = 10) -> DataFrame:
     """H5: population stability index on bins at linearly interpolated
     percentiles of the pooled values (duplicate edges removed, last bin
-    closed, +1e-10 per bin, normalised); fewer than 2 edges -> 0."""
+    closed, +1e-10 per bin, normalised); fewer than 2 edges -> 0.
+
+    The edges are a bounded fit (at most ``n_bins + 1`` numbers per
+    feature) collected once and compiled into a CASE expression."""
+    from churnlake.functions.prefix import grouped_case, range_index
     g = [*batch_cols, "feature"]
     pooled = counts.withColumn("w", F.col("n_ref") + F.col("n_cur"))
     qs = [i / n_bins for i in range(n_bins + 1)]
-    edges = (exact_quantiles(pooled, "value", qs, g, weight_col="w")
-             .groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges")))
-    nb = F.size("edges") - 1
-    binned = (counts.join(edges, g)
-                    .where(nb >= 1)
-                    .withColumn("bin", F.least(F.size(F.filter("edges", lambda e: e <= F.col("value"))) - 1, nb - 1))
+    fitted = {}
+    for r in exact_quantiles(pooled, "value", qs, g, weight_col="w").collect():
+        fitted.setdefault(tuple(r[c] for c in g), set()).add(r["value"])
+    edges = {k: sorted(v) for k, v in fitted.items()}
+    usable = {k: e for k, e in edges.items() if len(e) >= 2}
+    spark = counts.sparkSession
+    keys_schema = ", ".join(f"`{c}` {counts.schema[c].dataType.simpleString()}" for c in g)
+    groups = spark.createDataFrame([list(k) for k in edges], keys_schema)
+    if not usable:
+        return groups.withColumn("psi", F.lit(0.0))
+    # bin = (number of edges <= v) - 1, capped at the last bin: the
+    # interior edges decide it (v < e1 -> 0, e1 <= v < e2 -> 1, ...).
+    def bin_expr(e):
+        inner = e[1:-1]          # interior edges: v >= edge moves to the next bin
+        expr = None
+        for i, x in enumerate(inner):
+            cond = F.col("value") < F.lit(float(x))
+            expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+        return F.lit(0) if expr is None else expr.otherwise(F.lit(len(inner)))
+    binned = (counts.withColumn("bin", grouped_case(g, usable, bin_expr))
+                    .where(F.col("bin").isNotNull())
                     .groupBy(*g, "bin").agg(F.sum("n_ref").alias("c_ref"), F.sum("n_cur").alias("c_cur")))
-    spine = edges.where(nb >= 1).select(*g, F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    spine = spark.createDataFrame([[*k, i] for k, e in usable.items() for i in range(len(e) - 1)],
+                                  keys_schema + ", bin int")
     full = (spine.join(binned, [*g, "bin"], "left")
                  .select(*g, "bin", (F.coalesce("c_ref", F.lit(0)) + EPS).alias("e"),
                          (F.coalesce("c_cur", F.lit(0)) + EPS).alias("a")))
@@ -99,8 +119,8 @@ def psi(counts: DataFrame, batch_cols: Sequence[str] = (), n_bins: int = 10) ->
     val = (full.join(sums, g)
                .select(*g, (F.col("e") / F.col("se")).alias("e"), (F.col("a") / F.col("sa")).alias("a"))
                .groupBy(*g).agg(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi")))
-    return (edges.select(*g).join(val, g, "left")
-                 .select(*g, F.coalesce("psi", F.lit(0.0)).alias("psi")))
+    return (groups.join(val, g, "left")
+                  .select(*g, F.coalesce("psi", F.lit(0.0)).alias("psi")))
 
 
 def erfc(x: Column) -> Column:
