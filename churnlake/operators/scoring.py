@@ -75,7 +75,7 @@ def standardized(df: DataFrame, stats: DataFrame, features: Sequence[str] = FEAT
     """E2 apply: (x - mean) / std, zero std -> divide by 1.  The one-row
     fit is collected (bounded: two numbers per feature) and enters as
     literals."""
-    st = one_row(stats)
+    st = stats if isinstance(stats, dict) else one_row(stats)
     cols = []
     for f in features:
         mean = F.lit(st[f"mean_{f}"]).cast("double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.operators import clean, features, labels
@@ -62,4 +63,6 @@ class Domain:
 
     @cached_property
     def matrix(self) -> DataFrame:
-        return features.impute_defaults(self.joined_matrix)
+        # Reused by fits (scaler, splits) and scoring in the same job:
+        # persisted (memory, spilling to disk; lost blocks are recomputed).
+        return features.impute_defaults(self.joined_matrix).persist(StorageLevel.MEMORY_AND_DISK)
