@@ -29,6 +29,12 @@ from pyspark.sql import functions as F
 
 _G = "__grp"
 MAX_CASE_BRANCHES = 20000
+# Groups with at most this many rows (distinct values) take the short
+# plans: one window per group for prefix sums, Spark's exact ``percentile``
+# with frequencies for quantiles.  The sizes are measured first, so a task
+# never holds more than this many rows of a group; larger groups take the
+# range-partitioned plans.
+SMALL_GROUP_ROWS = 200_000
 
 
 def _group_cols(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -60,16 +66,23 @@ def grouped_case(gcols: Sequence[str], per_group: dict, build) -> Column:
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
                 n_ranges: int = 64, accuracy: int = 10000,
-                prefix: str = "cum_") -> DataFrame:
+                prefix: str = "cum_", small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` over ``order_col`` (unique per
     group) within each group.  Adds ``{prefix}{c}`` columns."""
     df, gcols = _group_cols(df, group_cols)
     key = -F.col(order_col) if descending else F.col(order_col)
     df = df.withColumn("__key", key.cast("double"))
     fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
+    fit_rows = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"),
+                                      F.count(F.lit(1)).alias("__rows")).collect()
     fitted = {tuple(r[c] for c in gcols): sorted(set(x for x in (r["__bounds"] or []) if x is not None))
-              for r in df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy)
-                                              .alias("__bounds")).collect()}
+              for r in fit_rows}
+    if all(r["__rows"] <= small_group_rows for r in fit_rows):
+        # measured small: one running window per group
+        w = Window.partitionBy(*gcols).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+        out = df.select(*[F.col(c) for c in df.columns if c != "__key"],
+                        *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
+        return out.drop(_G) if not group_cols else out
     if sum(len(b) + 1 for b in fitted.values()) <= MAX_CASE_BRANCHES:
         rng = grouped_case(gcols, fitted, lambda b: range_index(F.col("__key"), b))
         ranged = df.withColumn("__range", F.coalesce(rng, F.lit(0)))
@@ -95,7 +108,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
                     group_cols: Sequence[str] = (), n_ranges: int = 64,
-                    weight_col: str | None = None) -> DataFrame:
+                    weight_col: str | None = None, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """One row per (group, q): columns ``*group_cols, q, value``.
 
     Linear interpolation between the order statistics at floor/ceil of
@@ -107,7 +120,16 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
                 .groupBy(*gcols, F.col(value_col).cast("double").alias("__v"))
                 .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("__n"))
                 .where(F.col("__n") > 0))
-    cum = prefix_sums(counts, "__v", ["__n"], gcols, n_ranges=n_ranges)
+    from churnlake.functions.stats import one_row
+    largest = one_row(counts.groupBy(*gcols).agg(F.count(F.lit(1)).alias("d")).agg(F.max("d").alias("m")))["m"]
+    if largest is not None and largest <= small_group_rows:
+        # measured small: exact percentile over (value, count) pairs
+        pct = F.percentile(F.col("__v"), F.array(*[F.lit(float(q)) for q in qs]), F.col("__n"))
+        per = counts.groupBy(*gcols).agg(pct.alias("__p"))
+        rows = F.explode(F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("q"), F.col("__p").alias("value")))
+        res = per.select(*gcols, rows.alias("r")).select(*gcols, "r.q", "r.value")
+        return res.drop(_G) if not group_cols else res
+    cum = prefix_sums(counts, "__v", ["__n"], gcols, n_ranges=n_ranges, small_group_rows=small_group_rows)
     totals = counts.groupBy(*gcols).agg(F.sum("__n").alias("__total"))
     pos = [F.lit(float(q)) * (F.col("__total") - 1) for q in qs]
     # value at rank r = smallest value whose inclusive running count > r

@@ -169,7 +169,10 @@ def column_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str] | None
     if features is None:
         features = [c for c in ref.columns if c in cur.columns]
     g = [*batch_cols, "feature"]
-    counts = value_counts(ref, cur, features, batch_cols).cache()
+    # four tests read the value counts: cut them once into the shared
+    # checkpoint folder (a reliable checkpoint, no executor memory held)
+    from churnlake.session import cut_lineage
+    counts = cut_lineage(value_counts(ref, cur, features, batch_cols))
     summ = counts.groupBy(*g).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"),
                                   F.count(F.lit(1)).alias("n_unique"))
     ks = ks_test(counts, batch_cols).select(*g, "ks_statistic", "ks_pvalue")

@@ -25,33 +25,31 @@ def _bucket(ts: str, days: int) -> Column:
 
 def gap_stats(orders: DataFrame, params: Params = Params(), key: str = "user_id",
               ts: str = "order_date") -> DataFrame:
-    """Per key: number, sum and sum of squares of the whole-day gaps between
-    consecutive rows ordered by ``ts``.
+    """Per key: sum and sum of squares of the whole-day gaps between
+    consecutive rows ordered by ``ts`` (the number of gaps is rows - 1).
 
     Equal timestamps give zero gaps, so rows are first reduced to distinct
-    (key, ts) (a partial aggregate); the gaps between distinct timestamps
-    come from ``lag`` inside (key, time bucket) plus one border gap per
-    bucket from a window over the per-bucket first/last timestamps.
+    (key, ts) (a partial aggregate).  ``lag`` runs inside (key, time
+    bucket); the per-bucket sums and first/last stamps are aggregated in
+    the partitioning the window already has, and one window over the
+    per-bucket rows of a key adds the gaps across bucket borders.  One
+    scan of the input.
     """
-    dts = (orders.where(F.col(ts).isNotNull())
-                 .groupBy(key, ts).agg(F.count(F.lit(1)).alias("__c"))
+    dts = (orders.where(F.col(ts).isNotNull()).select(key, ts).distinct()
                  .withColumn("__b", _bucket(ts, params.history_bucket_days)))
     w_in = Window.partitionBy(key, "__b").orderBy(ts)
-    inner = (dts.withColumn("__prev", F.lag(ts).over(w_in))
-                .where(F.col("__prev").isNotNull())
-                .select(key, floor_days(F.col(ts), F.col("__prev")).alias("__g")))
-    per_bucket = dts.groupBy(key, "__b").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
+    g = floor_days(F.col(ts), F.lag(ts).over(w_in))
+    per_bucket = (dts.withColumn("__g", g)
+                     .groupBy(key, "__b")
+                     .agg(F.coalesce(F.sum("__g"), F.lit(0)).alias("__s"),
+                          F.coalesce(F.sum(F.col("__g") * F.col("__g")), F.lit(0)).alias("__ss"),
+                          F.min(ts).alias("__first"), F.max(ts).alias("__last")))
     w_b = Window.partitionBy(key).orderBy("__b")
-    border = (per_bucket.withColumn("__prev_last", F.lag("__last").over(w_b))
-                        .where(F.col("__prev_last").isNotNull())
-                        .select(key, floor_days(F.col("__first"), F.col("__prev_last")).alias("__g")))
-    dist = (inner.unionByName(border).groupBy(key)
-                 .agg(F.sum("__g").alias("gap_sum"), F.sum(F.col("__g") * F.col("__g")).alias("gap_sumsq")))
-    counts = dts.groupBy(key).agg(F.sum("__c").alias("n_rows"))
-    return (counts.join(dist, key, "left")
-                  .select(key, (F.col("n_rows") - 1).alias("gap_n"),
-                          F.coalesce("gap_sum", F.lit(0)).alias("gap_sum"),
-                          F.coalesce("gap_sumsq", F.lit(0)).alias("gap_sumsq")))
+    border = F.coalesce(floor_days(F.col("__first"), F.lag("__last").over(w_b)), F.lit(0))
+    return (per_bucket.withColumn("__bg", border)
+                      .groupBy(key)
+                      .agg((F.sum("__s") + F.sum("__bg")).alias("gap_sum"),
+                           (F.sum("__ss") + F.sum(F.col("__bg") * F.col("__bg"))).alias("gap_sumsq")))
 
 
 def sample_std(n: Column, s: Column, ss: Column) -> Column:
@@ -68,7 +66,7 @@ def order_features(orders_clean: DataFrame, params: Params = Params(), with_gaps
     has_coupon = "coupon_used" in orders_clean.columns
     aggs = [
         F.max("order_date").alias("__last"), F.min("order_date").alias("__first"),
-        F.count("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"), F.count("order_date").alias("__n_dated"),
         F.count_if(F.col("order_date") >= ts_lit(params.recent_start)).alias("orders_last_30_days"),
         F.avg("order_value").alias("avg_order_value"),
         F.avg("rating").alias("avg_rating"),
@@ -81,7 +79,7 @@ def order_features(orders_clean: DataFrame, params: Params = Params(), with_gaps
         "user_id",
         floor_days(snap, F.col("__last")).alias("days_since_last_order"),
         F.greatest(floor_days(snap, F.col("__first")), F.lit(0)).alias("tenure_days"),
-        "total_orders", "orders_last_30_days", "avg_order_value", "avg_rating",
+        "total_orders", "orders_last_30_days", "avg_order_value", "avg_rating", "__n_dated",
     ]
     if has_coupon:
         cols += [F.coalesce(F.col("__coupons"), F.lit(0)).alias("coupon_usage_count"),
@@ -92,40 +90,39 @@ def order_features(orders_clean: DataFrame, params: Params = Params(), with_gaps
     out = base.select(*cols)
     if with_gaps:
         g = gap_stats(orders_clean, params)
-        out = out.join(g.select("user_id", sample_std(F.col("gap_n"), F.col("gap_sum"), F.col("gap_sumsq"))
-                                .alias("std_days_between_orders")), "user_id", "left")
-    return out
+        n_gaps = F.col("__n_dated") - 1
+        out = (out.join(g, "user_id", "left")
+                  .withColumn("std_days_between_orders",
+                              sample_std(n_gaps, F.coalesce("gap_sum", F.lit(0)), F.coalesce("gap_sumsq", F.lit(0))))
+                  .drop("gap_sum", "gap_sumsq"))
+    return out.drop("__n_dated")
 
 
 def plan_change_counts(subs: DataFrame, params: Params = Params()) -> DataFrame:
     """Consecutive different plans ordered by (start, end, id), the first
-    row not counted.  A NULL plan always counts as different (NaN != NaN)."""
+    row not counted.  A NULL plan always counts as different (NaN != NaN).
+    Same plan shape as ``gap_stats``: ``lag`` inside (user, time bucket),
+    per-bucket first/last plan, one window over the buckets of a user."""
     tie = ["subscription_id"] if "subscription_id" in subs.columns else []
     order = ["start_date", "end_date", *tie]
     s = subs.withColumn("__b", _bucket("start_date", params.history_bucket_days))
 
     def changed(cur, prev):
-        return F.coalesce(cur != prev, F.lit(True))
+        return F.coalesce(cur != prev, F.lit(True)).cast("bigint")
 
     w_in = Window.partitionBy("user_id", "__b").orderBy(*order)
-    inner = (s.withColumn("__prev", F.lag("plan_type").over(w_in))
-              .withColumn("__has_prev", F.row_number().over(w_in) > 1)
-              .where("__has_prev")
-              .select("user_id", changed(F.col("plan_type"), F.col("__prev")).cast("bigint").alias("__ch")))
     okey = F.struct(*[F.col(c) for c in order])
-    per_bucket = s.groupBy("user_id", "__b").agg(F.min_by("plan_type", okey).alias("__first_plan"),
-                                                 F.max_by("plan_type", okey).alias("__last_plan"))
+    per_bucket = (s.withColumn("__ch", F.when(F.row_number().over(w_in) > 1,
+                                              changed(F.col("plan_type"), F.lag("plan_type").over(w_in))))
+                   .groupBy("user_id", "__b")
+                   .agg(F.coalesce(F.sum("__ch"), F.lit(0)).alias("__n"),
+                        F.min_by("plan_type", okey).alias("__first_plan"),
+                        F.max_by("plan_type", okey).alias("__last_plan")))
     w_b = Window.partitionBy("user_id").orderBy("__b")
-    border = (per_bucket.withColumn("__prev_last", F.lag("__last_plan").over(w_b))
-                        .withColumn("__has_prev", F.row_number().over(w_b) > 1)
-                        .where("__has_prev")
-                        .select("user_id", changed(F.col("__first_plan"), F.col("__prev_last"))
-                                .cast("bigint").alias("__ch")))
-    users = s.select("user_id").distinct()
-    changes = inner.unionByName(border).groupBy("user_id").agg(F.sum("__ch").alias("__n"))
-    return (users.join(changes, "user_id", "left")
-                 .select("user_id", F.greatest(F.coalesce(F.col("__n"), F.lit(0)), F.lit(0))
-                         .cast("bigint").alias("n_plan_changes")))
+    border = F.when(F.row_number().over(w_b) > 1, changed(F.col("__first_plan"), F.lag("__last_plan").over(w_b)))
+    return (per_bucket.withColumn("__bc", F.coalesce(border, F.lit(0)))
+                      .groupBy("user_id")
+                      .agg(F.greatest(F.sum("__n") + F.sum("__bc"), F.lit(0)).cast("bigint").alias("n_plan_changes")))
 
 
 def subscription_features(subs_clean: DataFrame, params: Params = Params(), as_of: bool = True) -> DataFrame:

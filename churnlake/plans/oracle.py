@@ -92,7 +92,9 @@ o_kept AS (
   SELECT * FROM raw_orders
   WHERE order_date >= (SELECT min(signup_date) FROM clean_users) AND order_date <= {SNAP} AND order_value > 0),
 o_r1 AS (
-  SELECT *, coalesce(CAST(rating AS DOUBLE), avg(rating) OVER (PARTITION BY user_id)) AS r1 FROM o_kept),
+  SELECT *, CASE WHEN user_id IS NOT NULL
+                 THEN coalesce(CAST(rating AS DOUBLE), avg(rating) OVER (PARTITION BY user_id)) END AS r1
+  FROM o_kept),
 clean_orders AS (
   SELECT order_id, user_id, order_date, order_value,
     coalesce(meal_plan, 'weekly_classic') AS meal_plan, coalesce(delivery_hour, 'afternoon') AS delivery_hour,

@@ -12,7 +12,10 @@ from churnlake.functions.prefix import exact_quantiles, prefix_sums
 def test_prefix_sums_match_cumsum(spark_session_for_props, rows):
     spark = spark_session_for_props
     df = spark.createDataFrame(rows, "g int, v int, w int")
-    got = {(r["g"], r["v"]): r["cum_w"] for r in prefix_sums(df, "v", ["w"], ["g"], n_ranges=4).collect()}
+    small = {(r["g"], r["v"]): r["cum_w"] for r in prefix_sums(df, "v", ["w"], ["g"], n_ranges=4).collect()}
+    got = {(r["g"], r["v"]): r["cum_w"]
+           for r in prefix_sums(df, "v", ["w"], ["g"], n_ranges=4, small_group_rows=0).collect()}
+    assert small == got
     for g in {r[0] for r in rows}:
         acc = 0
         for _, v, w in sorted(r for r in rows if r[0] == g):
@@ -26,7 +29,8 @@ def test_quantiles_match_numpy(spark_session_for_props, vals):
     spark = spark_session_for_props
     qs = [0, 0.1, 0.25, 0.5, 0.9, 1.0]
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = {r["q"]: r["value"] for r in exact_quantiles(df, "x", qs, n_ranges=4).collect()}
     want = np.percentile(np.array(vals), [q * 100 for q in qs])
-    for q, w in zip(qs, want):
-        assert abs(got[q] - w) <= 1e-9 * max(1.0, abs(w))
+    for small in (0, 10 ** 6):   # range-partitioned plan and the short plan
+        got = {r["q"]: r["value"] for r in exact_quantiles(df, "x", qs, n_ranges=4, small_group_rows=small).collect()}
+        for q, w in zip(qs, want):
+            assert abs(got[q] - w) <= 1e-9 * max(1.0, abs(w))
