@@ -44,17 +44,29 @@ def mode_value(df: DataFrame, col: str) -> Column:
 def clean_users(users: DataFrame, params: Params = Params(), flag_col: str | None = None) -> DataFrame:
     """A1: parse signup_date; keep 18 <= age <= 100 (NULL age dropped); NULL
     city -> mode of the kept rows (smallest on ties, 'Unknown' if none);
-    NULL diet -> 'balanced'."""
+    NULL diet -> 'balanced'.  The fitted mode and the earliest signup date
+    (needed by ``clean_orders``) come from one job; the latter is kept on
+    the frame's ``min_signup_date`` attribute."""
     kept = users.withColumn("signup_date", parse_ts("signup_date")).where(F.col("age").between(18, 100))
     if flag_col:
         kept = kept.withColumn(flag_col, _any_null("city", "dietary_preference"))
-    mode_city = mode_value(kept, "city")
-    return (kept.withColumn("city", F.coalesce(F.col("city"), mode_city, F.lit(params.default_city)))
-                .withColumn("dietary_preference",
-                            F.coalesce(F.col("dietary_preference"), F.lit(params.default_diet))))
+    per_city = kept.groupBy("city").agg(F.count(F.lit(1)).alias("__n"), F.min("signup_date").alias("__s"))
+    fit = one_row(per_city.agg(
+        F.min_by(F.col("city"), F.when(F.col("city").isNotNull(),
+                                       F.struct((-F.col("__n")).alias("n"), F.col("city").alias("v"))))
+         .alias("mode"),
+        F.min("__s").alias("min_signup")))
+    mode_city = F.lit(fit["mode"]).cast("string")
+    out = (kept.withColumn("city", F.coalesce(F.col("city"), mode_city, F.lit(params.default_city)))
+               .withColumn("dietary_preference",
+                           F.coalesce(F.col("dietary_preference"), F.lit(params.default_diet))))
+    out.min_signup_date = fit["min_signup"]
+    return out
 
 
 def min_signup(users_clean: DataFrame) -> Column:
+    if getattr(users_clean, "min_signup_date", None) is not None:
+        return F.lit(users_clean.min_signup_date).cast("timestamp")
     return lit_value(users_clean, F.min("signup_date"), "timestamp")
 
 

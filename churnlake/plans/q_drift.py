@@ -160,10 +160,19 @@ def q_column_drift(spark, sf_dir):
     return DR.column_drift(ref, cur, DRIFT_COLUMNS, P)
 
 
+def _side_counts(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    split = F.lit(DRIFT_SPLIT).cast("timestamp")
+    r = li.agg(F.count_if(F.col("l_shipdate") < split).alias("n_ref"),
+               F.count_if(F.col("l_shipdate") >= split).alias("n_cur")).first()
+    return r["n_ref"], r["n_cur"]
+
+
 def _report(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     cd = DR.column_drift(ref, cur, DRIFT_COLUMNS, P)
-    return DR.drift_report(cd, ref.count(), cur.count(), P)
+    n_ref, n_cur = _side_counts(spark, sf_dir)
+    return DR.drift_report(cd, n_ref, n_cur, P)
 
 
 @query("drift_report", _drift_sql("SELECT * EXCLUDE (b) FROM report"), dbl=["drift_share"])
@@ -175,7 +184,8 @@ def _history(spark, sf_dir):
     ref, cur = _by_year(spark, sf_dir)
     cd = DR.column_drift(ref, cur, DRIFT_COLUMNS, P, batch_cols=["b"])
     ncur = cur.groupBy("b").agg(F.count(F.lit(1)).alias("n_cur_rows"))
-    rep = DR.drift_report(cd, ref.count(), F.lit(None), P, batch_cols=["b"]).drop("n_current_samples")
+    rep = DR.drift_report(cd, _side_counts(spark, sf_dir)[0], F.lit(None), P, batch_cols=["b"]) \
+        .drop("n_current_samples")
     return rep.join(ncur, "b").withColumnRenamed("n_cur_rows", "n_current_samples")
 
 
