@@ -73,31 +73,34 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     key = -F.col(order_col) if descending else F.col(order_col)
     df = df.withColumn("__key", key.cast("double"))
     fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
-    fit_rows = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"),
-                                      F.count(F.lit(1)).alias("__rows")).collect()
-    fitted = {tuple(r[c] for c in gcols): sorted(set(x for x in (r["__bounds"] or []) if x is not None))
-              for r in fit_rows}
-    if all(r["__rows"] <= small_group_rows for r in fit_rows):
-        # measured small: one running window per group
-        w = Window.partitionBy(*gcols).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-        out = df.select(*[F.col(c) for c in df.columns if c != "__key"],
-                        *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
-        return out.drop(_G) if not group_cols else out
-    if sum(len(b) + 1 for b in fitted.values()) <= MAX_CASE_BRANCHES:
+    fit = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"),
+                                 F.count(F.lit(1)).alias("__rows"))
+    max_groups = max(1, MAX_CASE_BRANCHES // n_ranges)
+    fit_rows = fit.limit(max_groups + 1).collect()        # bounded collect
+    if len(fit_rows) <= max_groups:
+        if all(r["__rows"] <= small_group_rows for r in fit_rows):
+            # measured small: one running window per group
+            w = Window.partitionBy(*gcols).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+            out = df.select(*[F.col(c) for c in df.columns if c != "__key"],
+                            *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
+            return out.drop(_G) if not group_cols else out
+        fitted = {tuple(r[c] for c in gcols): sorted(set(x for x in (r["__bounds"] or []) if x is not None))
+                  for r in fit_rows}
         rng = grouped_case(gcols, fitted, lambda b: range_index(F.col("__key"), b))
         ranged = df.withColumn("__range", F.coalesce(rng, F.lit(0)))
-    else:   # very many groups: join the boundaries instead of compiling them
-        bounds = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"))
-        ranged = (df.join(bounds, gcols, "left")
+        small_offsets = True
+    else:   # many groups (e.g. one per time window): join the boundaries
+        ranged = (df.join(fit.select(*gcols, "__bounds"), gcols, "left")
                     .withColumn("__range", F.size(F.filter("__bounds", lambda b: b < F.col("__key"))))
                     .drop("__bounds"))
+        small_offsets = False
     totals = ranged.groupBy(*gcols, "__range").agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
     wr = Window.partitionBy(*gcols).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*gcols, "__range",
                             *[F.coalesce(F.sum(f"__tot_{c}").over(wr), F.lit(0)).alias(f"__off_{c}")
                               for c in sum_cols])
     wi = Window.partitionBy(*gcols, "__range").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-    out = (ranged.join(F.broadcast(offsets), [*gcols, "__range"], "left")
+    out = (ranged.join(F.broadcast(offsets) if small_offsets else offsets, [*gcols, "__range"], "left")
                  .select(*[F.col(c) for c in ranged.columns if c not in ("__key", "__range")],
                          *[(F.sum(c).over(wi) + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
                            for c in sum_cols]))
@@ -138,7 +141,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
         aggs.append(F.min(F.when(F.col("cum___n") > F.floor(p), F.col("__v"))).alias(f"__lo{i}"))
         aggs.append(F.min(F.when(F.col("cum___n") > F.ceil(p), F.col("__v"))).alias(f"__hi{i}"))
         aggs.append(F.first(p - F.floor(p)).alias(f"__fr{i}"))
-    per = cum.join(F.broadcast(totals) if group_cols else totals, gcols, "left").groupBy(*gcols).agg(*aggs)
+    per = cum.join(totals, gcols, "left").groupBy(*gcols).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(float(q)).alias("q"),
                  (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__fr{i}")).alias("value"))

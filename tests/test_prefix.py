@@ -34,3 +34,18 @@ def test_quantiles_match_numpy(spark_session_for_props, vals):
         got = {r["q"]: r["value"] for r in exact_quantiles(df, "x", qs, n_ranges=4, small_group_rows=small).collect()}
         for q, w in zip(qs, want):
             assert abs(got[q] - w) <= 1e-9 * max(1.0, abs(w))
+
+
+def test_prefix_sums_many_groups_join_path(spark_session_for_props):
+    """More groups than the compiled CASE allows: boundaries are joined."""
+    from churnlake.functions.prefix import MAX_CASE_BRANCHES
+    spark = spark_session_for_props
+    rows = [(g, v, (v * 7 + g) % 5) for g in range(3) for v in range(40)]
+    df = spark.createDataFrame(rows, "g int, v int, w int")
+    got = {(r["g"], r["v"]): r["cum_w"]
+           for r in prefix_sums(df, "v", ["w"], ["g"], n_ranges=MAX_CASE_BRANCHES, small_group_rows=0).collect()}
+    for g in range(3):
+        acc = 0
+        for _, v, w in sorted(r for r in rows if r[0] == g):
+            acc += w
+            assert got[(g, v)] == acc
