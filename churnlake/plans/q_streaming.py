@@ -85,3 +85,41 @@ def q_late_data(spark, sf_dir):
     """K6 batch replay: arrival order = request id, watermark delay 10 min."""
     late = K.late_rows(request_log(spark, sf_dir), 600)
     return late.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("late").alias("n_late"))
+
+
+def _event_stream(spark, sf_dir):
+    """The request log as a stream: the events table is written once into a
+    folder under the shared checkpoint folder and read back with
+    ``readStream`` (a file source; a message bus in production)."""
+    from churnlake.session import shared_path
+    from churnlake.sources.tables import load_table
+    src = shared_path(spark, "events_stream")
+    load_table(spark, sf_dir, "events").write.mode("overwrite").parquet(src)
+    schema = spark.read.parquet(src).schema
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    return raw.select(F.col("event_id").alias("request_id"), "ts", (F.col("event_type") == "error").alias("failed"),
+                      F.col("value").alias("latency"))
+
+
+@query("stream_error_rate")
+def q_stream_error_rate(spark, sf_dir):
+    """K1 as a Structured Streaming job: 10-minute watermark, sliding
+    windows in append mode (only windows the watermark has closed are
+    emitted), memory sink, checkpointed in the shared folder."""
+    from churnlake.session import shared_path
+    name = "k1_" + shared_path(spark, "q").rsplit("-", 1)[-1]
+    res, _ = K.run_stream(spark, _event_stream(spark, sf_dir),
+                          lambda d: K.window_error_rate(d.withWatermark("ts", "10 minutes")),
+                          name, shared_path(spark, "k1_checkpoint"), mode="append")
+    return res
+
+
+@query("stream_liveness")
+def q_stream_liveness(spark, sf_dir):
+    """K3 as a Structured Streaming job: activity sessions with a 2-minute
+    gap (session windows); the space between sessions is a liveness gap."""
+    from churnlake.session import shared_path
+    name = "k3_" + shared_path(spark, "q").rsplit("-", 1)[-1]
+    res, _ = K.run_stream(spark, _event_stream(spark, sf_dir), lambda d: K.stream_liveness(d), name,
+                          shared_path(spark, "k3_checkpoint"), mode="append")
+    return res

@@ -68,12 +68,18 @@ def liveness_gaps(log: DataFrame, max_silence_seconds: int = 120, bucket_seconds
     return gaps.withColumn("gap_seconds", secs / 1e6).where(F.col("gap_seconds") > max_silence_seconds)
 
 
-def stream_liveness(log: DataFrame, max_silence: str = "2 minutes", watermark: str = "10 minutes") -> DataFrame:
-    """K3 (stream): activity sessions with a gap of ``max_silence``; the
-    space between consecutive sessions is a liveness gap."""
-    return (log.withWatermark("ts", watermark).groupBy(F.session_window("ts", max_silence).alias("s"))
+def stream_liveness(log: DataFrame, max_silence: str = "2 minutes", watermark: str = "10 minutes",
+                    service: str = "service") -> DataFrame:
+    """K3 (stream): activity sessions per service with a gap of
+    ``max_silence``; the space between consecutive sessions is a liveness
+    gap.  (Streaming session windows need a key; the request log has one
+    service unless a ``service`` column says otherwise.)"""
+    if service not in log.columns:
+        log = log.withColumn(service, F.lit("api"))
+    return (log.withWatermark("ts", watermark).groupBy(service, F.session_window("ts", max_silence).alias("s"))
                .agg(F.count(F.lit(1)).alias("n_requests"))
-               .select(F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_requests"))
+               .select(service, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
+                       "n_requests"))
 
 
 def sustained_alert(windows: DataFrame, min_windows: int = 5, slide_seconds: int = 60,
