@@ -11,9 +11,10 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def ts_lit(value: dt.datetime | str) -> Column:
-    """Timestamp literal in the session zone (UTC)."""
-    if isinstance(value, str):
-        value = dt.datetime.fromisoformat(value)
+    """Timestamp literal read in the session zone (UTC): built from text, so
+    the driver process's own time zone never enters."""
+    if isinstance(value, dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S")
     return F.lit(value).cast("timestamp")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from churnlake.functions.columns import ts_lit
+
 from churnlake.operators import clean, features, labels
 from churnlake.params import Params
 from churnlake.plans.domain import Domain
@@ -157,7 +159,7 @@ def q_coupon_usage(spark, sf_dir):
 @query("plan_changes", "SELECT * FROM splan")
 def q_plan_changes(spark, sf_dir):
     s = D(spark, sf_dir).subscriptions
-    return features.plan_change_counts(s.where(F.col("start_date") <= F.lit(P.snapshot).cast("timestamp")), P)
+    return features.plan_change_counts(s.where(F.col("start_date") <= ts_lit(P.snapshot)), P)
 
 
 @query("current_price", "SELECT * FROM sprice", dbl=["monthly_price"])

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from churnlake.functions.columns import ts_lit
+
 from churnlake.operators import drift as DR
 from churnlake.params import Params
 from churnlake.plans.domain import Domain
@@ -111,7 +113,7 @@ def _sides(spark, sf_dir):
 def _by_year(spark, sf_dir):
     li = load_table(spark, sf_dir, "lineitem")
     ref, _ = drift_sides(spark, sf_dir)
-    cur = (li.filter(F.col("l_shipdate") >= F.lit(DRIFT_SPLIT).cast("timestamp"))
+    cur = (li.filter(F.col("l_shipdate") >= ts_lit(DRIFT_SPLIT))
              .select(F.year("l_shipdate").alias("b"), *_side_exprs()))
     return ref, cur
 
@@ -162,7 +164,7 @@ def q_column_drift(spark, sf_dir):
 
 def _side_counts(spark, sf_dir):
     li = load_table(spark, sf_dir, "lineitem")
-    split = F.lit(DRIFT_SPLIT).cast("timestamp")
+    split = ts_lit(DRIFT_SPLIT)
     r = li.agg(F.count_if(F.col("l_shipdate") < split).alias("n_ref"),
                F.count_if(F.col("l_shipdate") >= split).alias("n_cur")).first()
     return r["n_ref"], r["n_cur"]
@@ -215,7 +217,7 @@ def q_save_reference(spark, sf_dir):
   FROM (SELECT CAST(year(l_shipdate) AS VARCHAR) AS ref_version FROM lineitem
         WHERE l_shipdate < TIMESTAMP '1998-06-01 00:00:00') GROUP BY ref_version""")
 def q_latest_reference(spark, sf_dir):
-    ref_li = load_table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") < F.lit(DRIFT_SPLIT).cast("timestamp"))
+    ref_li = load_table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") < ts_lit(DRIFT_SPLIT))
     return DR.latest_reference(ref_li.select(F.year("l_shipdate").cast("string").alias("ref_version")))
 
 

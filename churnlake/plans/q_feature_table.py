@@ -9,6 +9,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from churnlake.functions.columns import ts_lit
+
 from churnlake.operators import feature_table as FT
 from churnlake.params import FEATURES
 from churnlake.plans.domain import Domain
@@ -68,7 +70,7 @@ def q_latest_features(spark, sf_dir):
   WHERE rn = 1""", ts=["event_timestamp"])
 def q_merge_incremental(spark, sf_dir):
     t = weekly_table(spark, sf_dir)
-    split = F.lit(SPLIT_WEEK).cast("timestamp")
+    split = ts_lit(SPLIT_WEEK)
     return FT.merge_incremental(t.where(F.col("event_timestamp") < split), t.where(F.col("event_timestamp") >= split))
 
 
@@ -83,7 +85,7 @@ def q_merge_incremental(spark, sf_dir):
   WHERE o.order_date >= TIMESTAMP '2001-05-01 00:00:00'""", ts=["label_ts", "feature_ts"])
 def q_point_in_time_join(spark, sf_dir):
     d = Domain(spark, sf_dir, P)
-    ev = d.raw_orders.where(F.col("order_date") >= F.lit(PIT_FROM).cast("timestamp")) \
+    ev = d.raw_orders.where(F.col("order_date") >= ts_lit(PIT_FROM)) \
         .select("order_id", "user_id", F.col("order_date").alias("label_ts"))
     return FT.point_in_time_join(ev, weekly_table(spark, sf_dir), "order_id", 3650, features=ENG_FEATURES)
 

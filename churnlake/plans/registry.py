@@ -18,6 +18,8 @@ def query(name: str, sql: str | None = None, dbl=(), ts=(), ints=()):
     SQL cannot state, e.g. model fits)."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # zone-less driver timestamps are wall-clock times: read them in UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return finalize(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -46,6 +46,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlake.functions.columns import ts_lit
 from churnlake.params import DIET_VALUES, REFERRAL_VALUES
 from churnlake.sources.tables import load_table
 
@@ -72,7 +73,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load_table(spark, sf_dir, "customer")
     n = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
-    signup = _add_days(F.lit(SIGNUP_BASE).cast("timestamp"), k % 30)
+    signup = _add_days(ts_lit(SIGNUP_BASE), k % 30)
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(
                 k.alias("user_id"),
@@ -116,7 +117,7 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("subscription_id"),
         F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("plan_type"),
         start.alias("start_date"),
-        F.when(k % 31 == 0, F.lit(None).cast("timestamp"))
+        F.when(k % 31 == 0, ts_lit(None))
          .when(k % 53 == 0, _add_days(start, -5))
          .otherwise(_add_days(start, k % 400)).alias("end_date"),
         F.when(k % 37 == 0, F.lit(None).cast("double"))
@@ -181,7 +182,7 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
          .otherwise(2.0).alias("returnflag_code"),
         F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0).alias("linestatus_code"),
     ]
-    split = F.lit(DRIFT_SPLIT).cast("timestamp")
+    split = ts_lit(DRIFT_SPLIT)
     ref = li.filter(F.col("l_shipdate") < split).select(*cols)
     cur = li.filter(F.col("l_shipdate") >= split).select(*cols)
     return ref, cur
