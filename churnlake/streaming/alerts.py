@@ -85,11 +85,13 @@ def stream_liveness(log: DataFrame, max_silence: str = "2 minutes", watermark: s
 def sustained_alert(windows: DataFrame, min_windows: int = 5, slide_seconds: int = 60,
                     ts: str = "window_start", flag: str = "alert") -> DataFrame:
     """K4 (batch): runs of at least ``min_windows`` consecutive alerting
-    windows (gaps and islands: island key = window index - row number).
-    The input has one row per window, bounded by time span / slide."""
-    a = windows.where(F.col(flag)).select(ts, (F.unix_seconds(ts) / slide_seconds).cast("bigint").alias("__i"))
-    w = Window.orderBy("__i")
-    isl = a.withColumn("__k", F.col("__i") - F.row_number().over(w))
+    windows (gaps and islands: island key = window index - its rank among
+    alerting windows; the rank is a range-partitioned prefix count, not a
+    single-partition ``row_number``)."""
+    from churnlake.functions.prefix import prefix_sums
+    a = (windows.where(F.col(flag))
+                .select(ts, (F.unix_seconds(ts) / slide_seconds).cast("bigint").alias("__i"), F.lit(1).alias("__one")))
+    isl = prefix_sums(a, "__i", ["__one"]).withColumn("__k", F.col("__i") - F.col("cum___one"))
     runs = isl.groupBy("__k").agg(F.min(ts).alias("run_start"), F.max(ts).alias("run_end"),
                                   F.count(F.lit(1)).alias("n_windows"))
     return runs.where(F.col("n_windows") >= min_windows).drop("__k")
