@@ -17,7 +17,7 @@ RAW_USERS_SCHEMA = ("user_id bigint, signup_date string, age int, city string, d
 
 @query("load_raw", "SELECT * FROM raw_users")
 def q_load_raw(spark, sf_dir):
-    """S1 + S3: the raw users table written as CSV (row count observed during
+    """S1 + S3: the raw users table written as CSV (row count read back from
     the write) and scanned back with a declared schema."""
     d = Domain(spark, sf_dir, P)
     path = shared_path(spark, "raw_users_csv")
@@ -31,7 +31,7 @@ def q_load_raw(spark, sf_dir):
   UNION ALL SELECT 'subscriptions', count(*) FROM raw_subs
   UNION ALL SELECT 'engagement', count(*) FROM raw_eng""")
 def q_csv_sink_counts(spark, sf_dir):
-    """S3: overwrite sinks per table with the observed row counts."""
+    """S3: overwrite sinks per table with the written row counts."""
     d = Domain(spark, sf_dir, P)
     rows = []
     for name, df in [("users", d.raw_users), ("orders", d.raw_orders), ("subscriptions", d.raw_subscriptions),

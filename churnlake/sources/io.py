@@ -1,15 +1,17 @@
 """Scans and sinks.
 
 Parquet between stages; CSV only as an external source or hand-off; JSON
-for reports.  Row counts of a write come from ``observe`` (collected while
-writing, no second pass over the data).
+for reports.  Row counts of a write are read back from the written files
+(parquet: footer metadata only).  ``DataFrame.observe`` is not used: it
+leaves a non-serialisable observation manager on the session that breaks
+later jobs which ship the session (Spark ML fits).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,18 +52,18 @@ def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
     raise FileNotFoundError(f"none of {list(candidates)} exists")
 
 
-def write_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-                  name: str = "rows") -> int:
-    """S3: overwrite sink; the row count is observed during the write."""
-    obs = Observation(name)
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
+    """S3: overwrite sink; returns the number of rows written, counted on
+    the written files (for parquet from the footers)."""
+    w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    spark = df.sparkSession
     if fmt == "csv":
         w.option("header", True).csv(path)
-    else:
-        w.format(fmt).save(path)
-    return obs.get["n"]
+        return spark.read.option("header", True).csv(path).count()
+    w.format(fmt).save(path)
+    return spark.read.format(fmt).load(path).count()
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
