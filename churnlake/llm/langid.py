@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import crc_mod, sample_by_hash
 
@@ -25,6 +26,8 @@ PIECE = 1024
 #: Characters parsed together.
 SLAB_CHARS = 1 << 21
 UNDECIDED = "und"
+#: A text that takes more phrases per character than this in every language is in none of them.
+MOST_PHRASES = 0.6
 
 
 def suffix_automaton(text) -> list[dict]:
@@ -85,9 +88,12 @@ class Parser:
                 for c, to in step.items():
                     if c > 0:
                         table[s, c] = to
-            # a miss ends the phrase and starts the next one with this character; bit 40 counts it
-            start = np.where(table[0] >= 0, table[0], 0)
-            table = np.where(table >= 0, table, start | (1 << 40))
+            # a miss ends the phrase and starts the next one with this character; bits from 40 on
+            # count. A character that no phrase can start with is one by itself; the start state then has none open
+            known = table[0] >= 0
+            miss = np.where(known, table[0] | (1 << 40), 2 << 40)
+            alone = ~known & (np.arange(len(table)) == 0)[:, None]
+            table = np.where(alone, 1 << 40, np.where(table >= 0, table, miss))
             tables.append(((table & ((1 << 40) - 1)) + base) * self.width + (table >> 40 << 40))
             roots.append(base * self.width)
             base += len(go)
@@ -123,7 +129,7 @@ class Parser:
                 s = state[:n]
                 step = self.table[(s & mask) + grid[t, :n]]
                 state[:n] = (s & ~mask) + step
-            total[:, k] = (state >> 40) + 1
+            total[:, k] = (state >> 40) + ((state & mask) != root)
         np.add.at(out, np.array([i for i, _ in pieces]), total)
         return out
 
@@ -194,11 +200,23 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | No
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
                                              names=[*b.schema.names[:len(keep)], "lang_pred", "score", "rate"])
 
-    kinds = rows.schema
-    kinds = kinds.__class__(kinds.fields[:-1]).add("lang_pred", "string").add("score", "double").add("rate", "double")
+    kinds = T.StructType(rows.schema.fields[:-1]).add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("rate", T.DoubleType())
     return rows.mapInArrow(run, kinds)
 
 
+def identified(docs: DataFrame, samples: dict[str, list[str]] | None = None, most: float = MOST_PHRASES) -> DataFrame:
+    """The rows of ``docs`` (its own columns) whose language is found: their text has a letter,
+    and the winner needs at most ``most`` phrases per character. Nothing learned: no row goes
+    but those without a letter."""
+    samples = learn(docs) if samples is None else samples
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
+    out = predict(rows, samples or {"any": []}, names)
+    if samples:
+        out = out.filter(F.col("rate") <= most)
+    return out.filter(F.col("lang_pred") != UNDECIDED).select(*names).toDF(*docs.columns)
+
+
 def identify(docs: DataFrame, samples: dict[str, list[str]] | None = None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score), one row per row of ``docs``; learns from
     ``docs`` itself unless ``samples`` are given. held_out: crc32(doc_id) mod 5 is 0

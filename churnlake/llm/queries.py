@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, simhash, suffix_dedup, toxicity
+from . import brown_lm, decontaminate, langid, line_dedup, nn_descent, pieces, secret_scan, simhash, suffix_dedup, toxicity
 
 #: The public tokenizer whose pieces op9 uses; never copied into the repository.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -14,10 +15,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_brown_lm(spark, sf_dir):
+    return brown_lm.brown_scores(table(spark, sf_dir, "documents"))
+
+
+def op2_benchmark_decontamination(spark, sf_dir):
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", "n_windows", "item_id")
+
+
 def op3_suffix_dedup(spark, sf_dir):
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), span=400, gram=200)
 
 
+def op4_nn_descent(spark, sf_dir):
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", top=20)
+
+
+def op5_line_dedup(spark, sf_dir):
+    out = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.coalesce("kept_text", F.lit("")).alias("kept_text"))
+
+
 def op6_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -30,5 +49,20 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op6_language_id, op7_simhash_near_dedup, op8_toxicity)}
-ORACLE: dict[str, str] = {}
+def op9_sentencepiece(spark, sf_dir):
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
+    back = pieces.decode(coded, TOKENIZER)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_brown_lm, op2_benchmark_decontamination, op3_suffix_dedup, op4_nn_descent, op5_line_dedup,
+    op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_sentencepiece, op10_secret_scan)}
+
+#: DuckDB text where SQL can express the operator.
+ORACLE: dict[str, str] = {"op5_line_dedup": line_dedup.oracle()}

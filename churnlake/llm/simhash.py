@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, stored, texts_of
+from .common import LOWER_BYTES, keyed, stored
 from .graph import components
 
 #: Buckets of up to so many different fingerprints are joined pair by pair; larger
@@ -33,15 +33,14 @@ def _fingerprint(text: bytes, width: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): one row per row; 64-bit SimHash (as a signed long) of the whole
+    """(doc_id, text_key, fp): one row per row; 64-bit SimHash (as a signed long) of the whole
     text's ``width``-word shingles, repeats included. No word: 0; fewer words than
     ``width``: the whole sequence is the one shingle."""
     def run(batches):
         for b in batches:
-            out = np.array([_fingerprint(t.as_buffer().to_pybytes(), width, seed) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
-    rows = texts_of(docs)
-    return rows.mapInArrow(run, "doc_id long, fp long")
+            out = np.array([_fingerprint(t.as_buffer().to_pybytes(), width, seed) for t in b.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out.view(np.int64))], ["doc_id", "text_key", "fp"])
+    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def links(fps: DataFrame, bits: int = 2) -> DataFrame:
@@ -86,6 +85,13 @@ def links(fps: DataFrame, bits: int = 2) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def _groups(own: DataFrame, bits: int) -> DataFrame:
+    """(fp, root): fingerprints that are linked, over any number of steps, share a root."""
+    nodes = own.select("fp").distinct()
+    roots = components(links(nodes, bits))
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``.
 
@@ -95,11 +101,24 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, seed: int =
     Null or empty texts have fingerprint zero and link like any other. Null doc_ids
     keep their rows and never name a component unless it has no other id."""
     own = stored(fingerprints(docs, width, seed), "simhash")
-    nodes = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(nodes.select("fp"), bits))
-    placed = (nodes.join(roots, nodes["fp"] == roots["node"], "left")
-              .select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
+    first = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    placed = _groups(own, bits).join(first, "fp")
     lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     member = placed.join(lowest, "root").select("fp", "component_id")
     return (own.join(member, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def representatives(docs: DataFrame, width: int = 3, bits: int = 2, seed: int = 42) -> DataFrame:
+    """One row of ``docs`` (all its columns) per group of near-duplicates: the smallest
+    doc_id (a null id only if the group has no other), then the smallest text hash; rows
+    that repeat both are the same document."""
+    own = stored(fingerprints(docs, width, seed), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    first = own.groupBy("fp").agg(F.min(order).alias("first"))
+    best = (_groups(own, bits).join(first, "fp").groupBy("root").agg(F.min("first").alias("best"))
+            .select(F.xxhash64("best.doc_id", "best.text_key").alias("kept_row"), F.col("best.doc_id").alias("kept_doc"), F.col("best.text_key").alias("kept_text")))
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    marked = docs.withColumn("own_text", key).withColumn("own_row", F.xxhash64(F.col("doc_id").cast("long"), "own_text"))
+    kept = marked.join(best, (F.col("own_row") == F.col("kept_row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("kept_doc")) & (F.col("own_text") == F.col("kept_text")))
+    return kept.dropDuplicates(["own_row", "kept_doc", "own_text"]).select(*docs.columns)

@@ -99,7 +99,7 @@ def score(docs: DataFrame, model) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per row of ``docs``: each weight
     counts once per text that has the feature. Null and empty texts get the bias
     alone; no model: 0."""
-    index, weight, bias = model or (np.zeros(0, np.int64), np.zeros(0), -700.0)
+    index, weight, bias = model or (np.zeros(0, np.int64), np.zeros(0), -np.inf)
 
     def run(batches):
         dense = np.zeros(1 << BITS)
@@ -113,7 +113,7 @@ def score(docs: DataFrame, model) -> DataFrame:
                 hit = dense[f] != 0
                 key = np.unique(row[hit] * (1 << BITS) + f[hit])
                 np.add.at(total, i + (key >> BITS), dense[key & ((1 << BITS) - 1)])
-            p = 1.0 / (1.0 + np.exp(-np.clip(total, -700, 700)))
+            p = 1.0 / (1.0 + np.exp(np.minimum(-total, 700))) * (total > -np.inf)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], ["doc_id", "score"])
 
     out = texts_of(docs).mapInArrow(run, "doc_id long, score double")
