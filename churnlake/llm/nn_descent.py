@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from .common import cut, stored
 
 #: Neighbours kept per node, and how many nodes that list a node join its neighbourhood.
-DEGREE, REVERSE = 24, 16
-#: Start: so many random orders (by hyperplane signs), cut into blocks of so many nodes.
-ORDERS, BLOCK = 8, 160
+DEGREE, REVERSE = 32, 24
+#: Start: so many random orders (by hyperplane signs), cut into blocks of so many nodes,
+#: and the neighbours that a block gives each of its nodes.
+ORDERS, BLOCK, BLOCK_NEAR = 16, 384, 16
 #: Rounds of neighbours of neighbours at most, and the share of changed entries that ends them.
-ROUNDS, SETTLED = 4, 0.01
+ROUNDS, SETTLED = 6, 0.01
 #: Search: pool per query, nodes expanded per round, rounds at most.
-POOL, EXPAND, SEARCH_ROUNDS = 96, 24, 4
+POOL, EXPAND, SEARCH_ROUNDS = 256, 40, 6
 
 
 def usable(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -46,11 +47,11 @@ def _raw(m: np.ndarray) -> pa.Array:
 
 
 def _floats(col) -> np.ndarray:
-    """(rows, dims) float32 of a binary column of equal-length rows."""
+    """(rows, dims) float32 of a binary column of equal-length rows of float16."""
     _, offs, data = col.buffers()
     o = np.frombuffer(offs, np.int32)[col.offset:col.offset + len(col) + 1]
     x = np.frombuffer(data, np.uint8)[o[0]:o[-1]] if data is not None else np.zeros(0, np.uint8)
-    return np.frombuffer(x.tobytes(), np.float32).reshape(len(col), -1)
+    return np.frombuffer(x.tobytes(), np.float16).reshape(len(col), -1).astype(np.float32)
 
 
 def nodes_of(vectors: DataFrame, keep: int) -> DataFrame:
@@ -74,7 +75,8 @@ def nodes_of(vectors: DataFrame, keep: int) -> DataFrame:
 
 
 def _unit(nodes: DataFrame) -> DataFrame:
-    """(node, x): float32 vectors of length 1, one coordinate longer."""
+    """(node, x): vectors of length 1, one coordinate longer. Half precision halves what the joins
+    move; it only steers the graph, results are measured on the original vectors."""
     def norms(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([max((float((np.frombuffer(r.as_buffer(), np.float64) ** 2).sum()) for r in b.column(0)), default=0.0)])], ["top"])
@@ -85,7 +87,7 @@ def _unit(nodes: DataFrame) -> DataFrame:
         for b in batches:
             v = np.array([np.frombuffer(r.as_buffer(), np.float64) for r in b.column(1)]).reshape(len(b), -1)
             rest = np.sqrt(np.maximum(top - (v * v).sum(1, keepdims=True), 0.0))
-            yield pa.RecordBatch.from_arrays([b.column(0), _raw((np.hstack([v, rest]) / np.sqrt(top)).astype(np.float32))], ["node", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _raw((np.hstack([v, rest]) / np.sqrt(top)).astype(np.float16))], ["node", "x"])
 
     return nodes.select("node", "raw").mapInArrow(run, "node long, x binary")
 
@@ -107,7 +109,7 @@ def _top(a, b, sim, k):
     return a[ok], b[ok], sim[ok]
 
 
-def _start(units: DataFrame, degree: int) -> DataFrame:
+def _start(units: DataFrame) -> DataFrame:
     """Pairs (a, b, sim) within blocks of nodes that are neighbours in some random order:
     sorted by the signs against random hyperplanes, then cut every BLOCK rows. Blocks
     have a fixed size, so clusters and hot spots cannot overfill one."""
@@ -128,7 +130,7 @@ def _start(units: DataFrame, degree: int) -> DataFrame:
             i, x = i[:n], x[:n]
             s = x @ x.T
             np.fill_diagonal(s, -2.0)
-            k = min(degree, n - 1)
+            k = min(BLOCK_NEAR, n - 1)
             if k < 1:
                 return None
             best = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -150,13 +152,6 @@ def _start(units: DataFrame, degree: int) -> DataFrame:
     return spread.repartitionByRange("code", "node").sortWithinPartitions("code", "node").mapInArrow(near, _PAIR)
 
 
-def _best(pairs: DataFrame, degree: int) -> DataFrame:
-    """(a, b, sim, fresh) with the ``degree`` best b of each a; fresh: not known before."""
-    once = pairs.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    rank = F.row_number().over(W.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    return once.withColumn("r", rank).filter(F.col("r") <= degree).drop("r")
-
-
 def _by_center(rows: DataFrame, solve, schema: str) -> DataFrame:
     """``solve`` gets a table with whole centers (column ``center``), a few thousand rows at a time."""
     def run(batches):
@@ -175,11 +170,26 @@ def _by_center(rows: DataFrame, solve, schema: str) -> DataFrame:
     return rows.repartition("center").sortWithinPartitions("center").mapInArrow(run, schema)
 
 
+def _best(pairs: DataFrame, degree: int) -> DataFrame:
+    """(a, b, sim, fresh) with the ``degree`` best b of each a; fresh: not known before."""
+    def solve(t):
+        a, b, sim, fresh = (t.column(c).to_numpy() for c in ("center", "b", "sim", "fresh"))
+        by = np.lexsort((fresh, b, a))  # an old entry stands before the same pair found anew
+        a, b, sim, fresh = a[by], b[by], sim[by], fresh[by]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        a, b, sim, fresh = a[new], b[new], sim[new], fresh[new]
+        by = np.lexsort((b, -sim, a))
+        a, b, sim, fresh = a[by], b[by], sim[by], fresh[by]
+        ok = np.arange(len(a)) - np.searchsorted(a, a) < degree
+        yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok]), pa.array(sim[ok]), pa.array(fresh[ok])], ["a", "b", "sim", "fresh"])
+    return _by_center(pairs.withColumnRenamed("a", "center"), solve, _PAIR + ", fresh boolean")
+
+
 def graph(units: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """(a, b, sim): the neighbour graph by NN-descent. In each round the neighbours of a
     node, and some of the nodes that list it, are compared with each other; a pair
     counts if one of the two is new there and it beats the other's worst neighbour."""
-    pairs = _start(units, degree).withColumn("fresh", F.lit(True))
+    pairs = _start(units).withColumn("fresh", F.lit(True))
     edges = stored(_best(pairs, degree), "ann-graph-0")
     total = edges.count()
     for k in range(rounds):
@@ -251,7 +261,7 @@ def search(queries: DataFrame, units: DataFrame, edges: DataFrame, top: int) ->
             for i, j in zip(cuts, np.append(cuts[1:], len(c))):
                 part = t.slice(i, j - i).to_pylist()
                 own = next(r for r in part if r["pool"] is not None)
-                x = np.frombuffer(own["x"], np.float32)
+                x = np.frombuffer(own["x"], np.float16).astype(np.float32)
                 visited, old = 0, []
                 for p in own["pool"]:
                     visited += not p["seen"]
@@ -259,7 +269,7 @@ def search(queries: DataFrame, units: DataFrame, edges: DataFrame, top: int) ->
                 have = {p[0] for p in old}
                 new = {n: v for r in part if r["pool"] is None for n, v in zip(r["near"], r["xs"]) if n not in have}
                 if new:
-                    sims = np.frombuffer(b"".join(new.values()), np.float32).reshape(len(new), -1) @ x
+                    sims = np.frombuffer(b"".join(new.values()), np.float16).reshape(len(new), -1).astype(np.float32) @ x
                     old += [(n, float(s), False) for n, s in zip(new, sims)]
                 old.sort(key=lambda p: (-p[1], p[0]))
                 old = old[:POOL]
@@ -300,7 +310,7 @@ def nearest(table: DataFrame, query: str, top: int = 20, id_col: str = "vec_id",
         for b in batches:
             x = _floats(b.column(1)).copy()
             x[:, -1:] = 0
-            yield pa.RecordBatch.from_arrays([b.column(0), _raw(x)], ["q", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _raw(x.astype(np.float16))], ["q", "x"])
 
     found = search(starts.mapInArrow(flat, "q long, x binary"), units, edges, top)
     measured = (own.select("node", F.col("raw").alias("q_raw")).distinct()

@@ -87,7 +87,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
                         rest += ORDINARY.findall(text[at:start])
                     at = max(at, end)
                 rest += ORDINARY.findall(text[at:])
-                secret += _counts(values)
+                secret += _counts(sorted(set(values)))  # a value that a text repeats teaches once
                 plain += _counts(rest)
         cells = np.arange(secret.size)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(secret.ravel()), pa.array(plain.ravel())], ["cell", "secret", "plain"])
