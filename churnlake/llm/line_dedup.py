@@ -87,14 +87,14 @@ def oracle(run: int = RUN) -> str:
     names = ", ".join(["line", *(f"l{k}" for k in range(1, run))])
     return f"""
     WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-    lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM t),
-    w AS (SELECT doc_id, line, at, {ahead} FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY at)),
-    r AS (SELECT doc_id, at, row_number() OVER (PARTITION BY {names} ORDER BY doc_id, at) AS k FROM w WHERE l{run - 1} IS NOT NULL),
-    gone AS (SELECT DISTINCT doc_id, at + i AS at FROM r, range({run}) AS s(i) WHERE k > 1),
-    f AS (SELECT l.doc_id, l.at, l.line, g.at IS NOT NULL AS gone,
-                 g.at IS NOT NULL AND lag(g.at) OVER (PARTITION BY l.doc_id ORDER BY l.at) IS NULL AS new_run
-          FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.at = l.at)
+    lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM t),
+    w AS (SELECT doc_id, line, pos, {ahead} FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+    r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY {names} ORDER BY doc_id, pos) AS k FROM w WHERE l{run - 1} IS NOT NULL),
+    gone AS (SELECT DISTINCT doc_id, pos + i AS pos FROM r, range({run}) AS s(i) WHERE k > 1),
+    f AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS gone,
+                 g.pos IS NOT NULL AND lag(g.pos) OVER (PARTITION BY l.doc_id ORDER BY l.pos) IS NULL AS new_run
+          FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos)
     SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
            CAST(sum(CASE WHEN new_run THEN 1 ELSE 0 END) AS BIGINT) AS n_runs,
-           coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY at), '') AS kept_text
+           coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '') AS kept_text
     FROM f GROUP BY doc_id"""
