@@ -8,10 +8,12 @@ adds the running sum inside each range.  Results are exact; the approximate
 quantiles only decide the partitioning, so a heavy group is spread over many
 tasks and no task ever holds a whole group.
 
-The range boundaries are a bounded fit (``n_ranges - 1`` numbers per group;
-groups here are features, classes or models, never users) collected once and
-compiled into a ``CASE WHEN`` -- code-generated, unlike per-row array
-lambdas.
+The number of ranges follows from the measured number of rows, so a range
+holds about ``rows_per_range`` rows at any size; a frame that fits one range
+is one range of the same plan.  Ranges are cut on a double that never
+decreases with the ordering column, rows inside a range are ordered by the
+column itself, so 60-bit integers, dates and text are ordered exactly.  NULL
+groups are groups.
 
 ``exact_quantiles``: interpolated quantiles (numpy / pandas / DuckDB
 ``quantile_cont`` semantics) from per-value counts and their prefix sums:
@@ -22,19 +24,20 @@ count exceeds r, one conditional ``min`` per target rank.  Unlike Spark's
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from churnlake.functions.stats import lit_value, one_row
 
 _G = "__grp"
-MAX_CASE_BRANCHES = 20000
-# Groups with at most this many rows (distinct values) take the short
-# plans: one window per group for prefix sums, Spark's exact ``percentile``
-# with frequencies for quantiles.  The sizes are measured first, so a task
-# never holds more than this many rows of a group; larger groups take the
-# range-partitioned plans.
-SMALL_GROUP_ROWS = 200_000
+ROWS_PER_RANGE = 500_000
+# (group, range) rows up to this many are broadcast; more are joined by a shuffle.
+BROADCAST_RANGES = 500_000
 
 
 def _group_cols(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -43,75 +46,76 @@ def _group_cols(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, li
     return df.withColumn(_G, F.lit(0)), [_G]
 
 
-def range_index(key: Column, bounds: Sequence[float]) -> Column:
-    """Number of ``bounds`` (sorted) strictly below ``key``."""
-    expr = None
-    for i, b in enumerate(bounds):
-        cond = key <= F.lit(float(b))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(len(bounds)))
+def range_key(c: str, dtype: T.DataType) -> Column:
+    """A double that never decreases when the column grows: the number
+    itself, microseconds, or the first seven bytes of a text."""
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return F.col(c).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.DateType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(dtype, T.StringType):
+        first = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(first, 16, 10).cast("double")
+    return F.lit(0.0)
 
 
-def grouped_case(gcols: Sequence[str], per_group: dict, build) -> Column:
-    """CASE over group values: ``build(value)`` for the matching group."""
-    expr = None
-    for gval, v in per_group.items():
-        cond = F.lit(True)
-        for c, x in zip(gcols, gval):
-            cond = cond & (F.col(c) == F.lit(x))
-        expr = F.when(cond, build(v)) if expr is None else expr.when(cond, build(v))
-    return F.lit(None) if expr is None else expr
+def same_group(left: str, right: str, cols: Sequence[str]) -> Column:
+    """Null-safe equality of the group columns of two aliased frames."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
-                n_ranges: int = 64, accuracy: int = 10000,
-                prefix: str = "cum_", small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE, accuracy: int = 10000,
+                prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` over ``order_col`` (unique per
-    group) within each group.  Adds ``{prefix}{c}`` columns."""
+    group, any orderable type) within each group.  Adds ``{prefix}{c}``
+    columns.  One job counts the rows and groups when the plan is built."""
     df, gcols = _group_cols(df, group_cols)
-    key = -F.col(order_col) if descending else F.col(order_col)
-    df = df.withColumn("__key", key.cast("double"))
-    fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
-    fit = df.groupBy(*gcols).agg(F.percentile_approx("__key", fracs, accuracy).alias("__bounds"),
-                                 F.count(F.lit(1)).alias("__rows"))
-    max_groups = max(1, MAX_CASE_BRANCHES // n_ranges)
-    fit_rows = fit.limit(max_groups + 1).collect()        # bounded collect
-    if len(fit_rows) <= max_groups:
-        if all(r["__rows"] <= small_group_rows for r in fit_rows):
-            # measured small: one running window per group
-            w = Window.partitionBy(*gcols).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-            out = df.select(*[F.col(c) for c in df.columns if c != "__key"],
-                            *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
-            return out.drop(_G) if not group_cols else out
-        fitted = {tuple(r[c] for c in gcols): sorted(set(x for x in (r["__bounds"] or []) if x is not None))
-                  for r in fit_rows}
-        rng = grouped_case(gcols, fitted, lambda b: range_index(F.col("__key"), b))
-        ranged = df.withColumn("__range", F.coalesce(rng, F.lit(0)))
-        small_offsets = True
-    else:   # many groups (e.g. one per time window): join the boundaries
-        ranged = (df.join(fit.select(*gcols, "__bounds"), gcols, "left")
-                    .withColumn("__range", F.size(F.filter("__bounds", lambda b: b < F.col("__key"))))
-                    .drop("__bounds"))
-        small_offsets = False
+    size = one_row(df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.struct(*gcols)).alias("g")))
+    n_ranges = max(1, math.ceil(size["n"] / rows_per_range))
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if n_ranges == 1:
+        ranged = df.withColumn("__range", F.lit(0))
+    else:
+        keyed = df.withColumn("__key", range_key(order_col, df.schema[order_col].dataType))
+        fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
+        bounds = keyed.groupBy(*gcols).agg(
+            F.percentile_approx("__key", fracs, max(accuracy, 20 * n_ranges)).alias("__bounds"))
+        # number of bounds below the key, by binary search
+        steps = [1 << k for k in reversed(range(n_ranges.bit_length()))]
+        at = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda lo, x: F.when(
+            (lo + x <= F.size("__bounds")) & (F.get("__bounds", lo + x - 1) < F.col("__key")), lo + x).otherwise(lo))
+        ranged = (keyed.alias("k").join(_few(bounds, size["g"]).alias("b"), same_group("k", "b", gcols), "left")
+                       .select("k.*", "b.__bounds")
+                       .withColumn("__range", F.when(F.col("__key").isNull() | F.col("__bounds").isNull(), F.lit(-1)).otherwise(at))
+                       .drop("__bounds", "__key"))
     totals = ranged.groupBy(*gcols, "__range").agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
-    wr = Window.partitionBy(*gcols).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    by_range = F.col("__range").desc() if descending else F.col("__range").asc()
+    wr = Window.partitionBy(*gcols).orderBy(by_range).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*gcols, "__range",
                             *[F.coalesce(F.sum(f"__tot_{c}").over(wr), F.lit(0)).alias(f"__off_{c}")
                               for c in sum_cols])
-    wi = Window.partitionBy(*gcols, "__range").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-    out = (ranged.join(F.broadcast(offsets) if small_offsets else offsets, [*gcols, "__range"], "left")
-                 .select(*[F.col(c) for c in ranged.columns if c not in ("__key", "__range")],
-                         *[(F.sum(c).over(wi) + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
-                           for c in sum_cols]))
-    if not group_cols:
-        out = out.drop(_G)
-    return out
+    wi = Window.partitionBy(*gcols, "__range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    keep = [c for c in ranged.columns if c != "__range"]
+    if n_ranges == 1:       # one range: every offset is 0
+        out = ranged.select(*keep, *[F.sum(c).over(wi).alias(f"{prefix}{c}") for c in sum_cols])
+    else:
+        out = (ranged.alias("r").join(_few(offsets, size["g"] * n_ranges).alias("o"),
+                                      same_group("r", "o", [*gcols, "__range"]), "left")
+                     .select("r.*", *[f"o.__off_{c}" for c in sum_cols])
+                     .select(*keep, *[(F.sum(c).over(wi) + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
+                                      for c in sum_cols]))
+    return out if group_cols else out.drop(_G)
+
+
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_RANGES else df
 
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
-                    group_cols: Sequence[str] = (), n_ranges: int = 64,
-                    weight_col: str | None = None, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                    group_cols: Sequence[str] = (), weight_col: str | None = None,
+                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One row per (group, q): columns ``*group_cols, q, value``.
 
     Linear interpolation between the order statistics at floor/ceil of
@@ -123,17 +127,9 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
                 .groupBy(*gcols, F.col(value_col).cast("double").alias("__v"))
                 .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("__n"))
                 .where(F.col("__n") > 0))
-    from churnlake.functions.stats import one_row
-    largest = one_row(counts.groupBy(*gcols).agg(F.count(F.lit(1)).alias("d")).agg(F.max("d").alias("m")))["m"]
-    if largest is not None and largest <= small_group_rows:
-        # measured small: exact percentile over (value, count) pairs
-        pct = F.percentile(F.col("__v"), F.array(*[F.lit(float(q)) for q in qs]), F.col("__n"))
-        per = counts.groupBy(*gcols).agg(pct.alias("__p"))
-        rows = F.explode(F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("q"), F.col("__p").alias("value")))
-        res = per.select(*gcols, rows.alias("r")).select(*gcols, "r.q", "r.value")
-        return res.drop(_G) if not group_cols else res
-    cum = prefix_sums(counts, "__v", ["__n"], gcols, n_ranges=n_ranges, small_group_rows=small_group_rows)
+    cum = prefix_sums(counts, "__v", ["__n"], gcols, rows_per_range=rows_per_range)
     totals = counts.groupBy(*gcols).agg(F.sum("__n").alias("__total"))
+    cum = (cum.alias("c").join(totals.alias("t"), same_group("c", "t", gcols)).select("c.*", "t.__total"))
     pos = [F.lit(float(q)) * (F.col("__total") - 1) for q in qs]
     # value at rank r = smallest value whose inclusive running count > r
     aggs = []
@@ -141,19 +137,16 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
         aggs.append(F.min(F.when(F.col("cum___n") > F.floor(p), F.col("__v"))).alias(f"__lo{i}"))
         aggs.append(F.min(F.when(F.col("cum___n") > F.ceil(p), F.col("__v"))).alias(f"__hi{i}"))
         aggs.append(F.first(p - F.floor(p)).alias(f"__fr{i}"))
-    per = cum.join(totals, gcols, "left").groupBy(*gcols).agg(*aggs)
+    per = cum.groupBy(*gcols).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(float(q)).alias("q"),
                  (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__fr{i}")).alias("value"))
         for i, q in enumerate(qs)]))
     res = per.select(*gcols, rows.alias("r")).select(*gcols, "r.q", "r.value")
-    if not group_cols:
-        res = res.drop(_G)
-    return res
+    return res if group_cols else res.drop(_G)
 
 
 def scalar_quantile(df: DataFrame, value_col: str, q: float = 0.5) -> Column:
     """Exact quantile of a column, fitted by its own job, as a double
     literal (NULL when the column has no values)."""
-    from churnlake.functions.stats import lit_value
     return lit_value(exact_quantiles(df, value_col, [q]), F.max("value"), "double")

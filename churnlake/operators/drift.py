@@ -23,17 +23,17 @@ from churnlake.params import MONITORED_FEATURES, Params
 EPS = 1e-10
 
 
-def numeric_columns(df: DataFrame, exclude_ids: bool = True) -> list[str]:
+def numeric_columns(df: DataFrame, exclude: Sequence[str] = ("user_id",)) -> list[str]:
     num = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
     return [f.name for f in df.schema.fields
             if f.dataType.simpleString() in num or f.dataType.simpleString().startswith("decimal")
-            if not (exclude_ids and (f.name.endswith("id") or f.name.endswith("key")))]
+            if f.name not in exclude]
 
 
 def monitored_columns(df: DataFrame, monitored: Sequence[str] = MONITORED_FEATURES, min_present: int = 5,
                       fallback_max: int = 50) -> list[str]:
     """H1 column choice: the monitored features present; when fewer than
-    ``min_present`` are, the first 50 numeric non-id columns."""
+    ``min_present`` are, the first ``fallback_max`` numeric columns but the user's id."""
     present = [c for c in monitored if c in df.columns]
     return present if len(present) >= min_present else numeric_columns(df)[:fallback_max]
 
@@ -70,7 +70,7 @@ def ks_test(counts: DataFrame, batch_cols: Sequence[str] = (), terms: int = 100)
     d = (cum.join(tot, g).groupBy(*g)
             .agg(F.max(F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur")))
                  .alias("ks_statistic"), F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur")))
-    z = F.col("ks_statistic") * F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
+    z = F.col("ks_statistic") * F.sqrt(F.col("n_ref").cast("double") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
                          lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * z * z))
     p = F.when(z <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(2.0 * series, F.lit(0.0)), F.lit(1.0)))
@@ -82,36 +82,20 @@ def psi(counts: DataFrame, batch_cols: Sequence[str] = (), n_bins: int = 10) ->
     percentiles of the pooled values (duplicate edges removed, last bin
     closed, +1e-10 per bin, normalised); fewer than 2 edges -> 0.
 
-    The edges are a bounded fit (at most ``n_bins + 1`` numbers per
-    feature) collected once and compiled into a CASE expression."""
-    from churnlake.functions.prefix import grouped_case, range_index
+    Edges (at most ``n_bins + 1`` numbers per group) are joined to the value
+    counts; nothing is collected, however many batches there are."""
     g = [*batch_cols, "feature"]
     pooled = counts.withColumn("w", F.col("n_ref") + F.col("n_cur"))
     qs = [i / n_bins for i in range(n_bins + 1)]
-    fitted = {}
-    for r in exact_quantiles(pooled, "value", qs, g, weight_col="w").collect():
-        fitted.setdefault(tuple(r[c] for c in g), set()).add(r["value"])
-    edges = {k: sorted(v) for k, v in fitted.items()}
-    usable = {k: e for k, e in edges.items() if len(e) >= 2}
-    spark = counts.sparkSession
-    keys_schema = ", ".join(f"`{c}` {counts.schema[c].dataType.simpleString()}" for c in g)
-    groups = spark.createDataFrame([list(k) for k in edges], keys_schema)
-    if not usable:
-        return groups.withColumn("psi", F.lit(0.0))
-    # bin = (number of edges <= v) - 1, capped at the last bin: the
-    # interior edges decide it (v < e1 -> 0, e1 <= v < e2 -> 1, ...).
-    def bin_expr(e):
-        inner = e[1:-1]          # interior edges: v >= edge moves to the next bin
-        expr = None
-        for i, x in enumerate(inner):
-            cond = F.col("value") < F.lit(float(x))
-            expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-        return F.lit(0) if expr is None else expr.otherwise(F.lit(len(inner)))
-    binned = (counts.withColumn("bin", grouped_case(g, usable, bin_expr))
-                    .where(F.col("bin").isNotNull())
+    edges = (exact_quantiles(pooled, "value", qs, g, weight_col="w")
+             .groupBy(*g).agg(F.array_sort(F.collect_set("value")).alias("edges")))
+    # the interior edges decide the bin (v < e1 -> 0, e1 <= v < e2 -> 1, ...): the last bin is closed
+    inner = F.slice("edges", 2, F.size("edges") - 2)
+    binned = (counts.join(edges.where(F.size("edges") >= 2), g)
+                    .withColumn("bin", F.size(F.filter(inner, lambda e: e <= F.col("value"))))
                     .groupBy(*g, "bin").agg(F.sum("n_ref").alias("c_ref"), F.sum("n_cur").alias("c_cur")))
-    spine = spark.createDataFrame([[*k, i] for k, e in usable.items() for i in range(len(e) - 1)],
-                                  keys_schema + ", bin int")
+    spine = (edges.where(F.size("edges") >= 2)
+                  .select(*g, F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")))
     full = (spine.join(binned, [*g, "bin"], "left")
                  .select(*g, "bin", (F.coalesce("c_ref", F.lit(0)) + EPS).alias("e"),
                          (F.coalesce("c_cur", F.lit(0)) + EPS).alias("a")))
@@ -119,8 +103,8 @@ def psi(counts: DataFrame, batch_cols: Sequence[str] = (), n_bins: int = 10) ->
     val = (full.join(sums, g)
                .select(*g, (F.col("e") / F.col("se")).alias("e"), (F.col("a") / F.col("sa")).alias("a"))
                .groupBy(*g).agg(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi")))
-    return (groups.join(val, g, "left")
-                  .select(*g, F.coalesce("psi", F.lit(0.0)).alias("psi")))
+    return (edges.select(*g).join(val, g, "left")
+                 .select(*g, F.coalesce("psi", F.lit(0.0)).alias("psi")))
 
 
 def erfc(x: Column) -> Column:
@@ -175,12 +159,14 @@ def column_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str] | None
     counts = cut_lineage(value_counts(ref, cur, features, batch_cols))
     summ = counts.groupBy(*g).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"),
                                   F.count(F.lit(1)).alias("n_unique"))
-    ks = ks_test(counts, batch_cols).select(*g, "ks_statistic", "ks_pvalue")
-    ps = psi(counts, batch_cols)
-    ch = chi_square_test(counts, batch_cols)
-    j = summ.join(ks, g, "left").join(ps, g, "left").join(ch, g, "left")
     few = (F.col("n_ref") < params.min_samples) | (F.col("n_cur") < params.min_samples)
     cat = F.col("n_unique") <= params.categorical_max_distinct
+    # the test is chosen first; each test reads the counts of its own features
+    numeric = counts.join(summ.where(~few & ~cat).select(*g), g, "left_semi")
+    ks = ks_test(numeric, batch_cols).select(*g, "ks_statistic", "ks_pvalue")
+    ps = psi(numeric, batch_cols)
+    ch = chi_square_test(counts.join(summ.where(~few & cat).select(*g), g, "left_semi"), batch_cols)
+    j = summ.join(ks, g, "left").join(ps, g, "left").join(ch, g, "left")
     test = F.when(few, "none").when(cat, "chi_square").otherwise("ks")
     score = F.when(few, 0.0).when(cat, F.col("chi2_pvalue")).otherwise(F.col("ks_statistic"))
     pval = F.when(few, 1.0).when(cat, F.col("chi2_pvalue")).otherwise(F.col("ks_pvalue"))

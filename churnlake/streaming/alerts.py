@@ -97,16 +97,17 @@ def sustained_alert(windows: DataFrame, min_windows: int = 5, slide_seconds: int
     return runs.where(F.col("n_windows") >= min_windows).drop("__k")
 
 
-def late_rows(log: DataFrame, delay_seconds: int, order_col: str = "request_id", n_ranges: int = 64) -> DataFrame:
+def late_rows(log: DataFrame, delay_seconds: int, order_col: str = "request_id",
+              rows_per_range: int = 500_000) -> DataFrame:
     """K6 (batch replay): rows whose event time is behind the watermark
     (max event time seen so far in arrival order minus the delay).  The
     running max comes from range-partitioned arrival order: per range
     maxima, a small window for the max of earlier ranges, and a window per
     range."""
-    bounds = log.select(F.percentile_approx(order_col, [i / n_ranges for i in range(1, n_ranges)], 10000)
-                        .alias("b"))
     from churnlake.functions.stats import one_row
-    b = one_row(bounds)["b"] or []
+    n_ranges = max(1, -(-one_row(log.agg(F.count(F.lit(1)).alias("n")))["n"] // rows_per_range))
+    fracs = [i / n_ranges for i in range(1, n_ranges)]
+    b = one_row(log.select(F.percentile_approx(order_col, fracs, max(10000, 20 * n_ranges)).alias("b")))["b"] if fracs else []
     r = log.withColumn("__r", F.size(F.filter(F.array(*[F.lit(x) for x in b]), lambda x: x < F.col(order_col)))
                        if b else F.lit(0))
     per = r.groupBy("__r").agg(F.max("ts").alias("__mx"))
@@ -120,25 +121,33 @@ def late_rows(log: DataFrame, delay_seconds: int, order_col: str = "request_id",
 
 def run_stream(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame], name: str,
                checkpoint: str, mode: str = "append") -> tuple[DataFrame, StreamingQuery]:
-    """Drive a streaming plan to completion on the available input (memory
-    sink) and return its result and the query (for progress metrics)."""
-    q = (build(source).writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint).start())
+    """Drive a streaming plan to completion on the available input and
+    return its result and the query (for progress metrics). Append mode
+    writes Parquet files beside the checkpoint, so the result never sits on
+    the driver; complete mode (small parity runs) uses the memory sink."""
+    plan = build(source)
+    w = plan.writeStream.outputMode(mode).queryName(name).option("checkpointLocation", checkpoint)
+    if mode == "append":
+        out = f"{checkpoint}-output"
+        q = w.format("parquet").option("path", out).start()
+    else:
+        q = w.format("memory").start()
     q.processAllAvailable()
     q.stop()
-    return spark.table(name), q
+    return (spark.read.schema(plan.schema).parquet(out) if mode == "append" else spark.table(name)), q
 
 
 def stream_score_batches(features_stream: DataFrame, score: Callable[[DataFrame], DataFrame],
                          split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], scored_path: str,
                          quarantine_path: str, checkpoint: str) -> StreamingQuery:
     """K5: score an incoming feature stream; each micro-batch is split into
-    valid rows (scored, appended to ``scored_path``) and quarantined rows
-    with reasons (appended to ``quarantine_path``)."""
+    valid rows (scored, under ``scored_path``) and quarantined rows with
+    reasons (under ``quarantine_path``), in a folder per epoch."""
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         valid, invalid = split(batch)
-        score(valid).write.mode("append").parquet(scored_path)
-        invalid.write.mode("append").parquet(quarantine_path)
+        # one folder per epoch, overwritten: a replayed batch leaves no second copy
+        score(valid).write.mode("overwrite").parquet(f"{scored_path}/epoch={epoch}")
+        invalid.write.mode("overwrite").parquet(f"{quarantine_path}/epoch={epoch}")
         batch.unpersist()
     return (features_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).start())
