@@ -52,11 +52,13 @@ def calibrate_sigmoid(train: DataFrame, fit: Callable[[DataFrame], object], fold
 
 
 def predict_calibrated(pairs, df: DataFrame, key: str = "user_id", out: str = "p_calibrated") -> DataFrame:
-    acc = None
+    """Mean of the calibrated probabilities; every model is applied to the
+    same frame in one pass, so no join is needed (``key`` is kept for callers)."""
+    scored = df
     for i, (base, platt) in enumerate(pairs):
-        m = _margin(base.transform(df)).select(key, "__m")
+        m = _margin(base.transform(scored)).drop("rawPrediction", "probability", "prediction")
         x = VectorAssembler(inputCols=["__m"], outputCol="__mv").transform(m)
-        p = platt.transform(x).select(key, vector_to_array("probability")[1].alias(f"__p{i}"))
-        acc = p if acc is None else acc.join(p, key)
+        scored = (platt.transform(x).withColumn(f"__p{i}", vector_to_array("probability")[1])
+                       .drop("__m", "__mv", "rawPrediction", "probability", "prediction"))
     mean = sum((F.col(f"__p{i}") for i in range(len(pairs))), F.lit(0.0)) / float(len(pairs))
-    return df.join(acc.select(key, mean.alias(out)), key)
+    return scored.withColumn(out, mean).drop(*[f"__p{i}" for i in range(len(pairs))])

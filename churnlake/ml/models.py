@@ -62,13 +62,16 @@ def forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_le
 
 
 def boosted(n_estimators: int = 100, max_depth: int = 4, learning_rate: float = 0.1, subsample: float = 1.0,
-            gamma: float = 0.0, seed: int = 42, weight_col: str | None = None,
+            gamma: float = 0.0, max_features: str = "all", min_samples_leaf: int = 1, seed: int = 42, weight_col: str | None = None,
             features_col: str = "features", label: str = "churned") -> GBTClassifier:
     """n_estimators -> maxIter, learning_rate -> stepSize, subsample ->
-    subsamplingRate, gamma -> minInfoGain, scale_pos_weight -> weightCol
-    (no L1/L2 leaf penalties in Spark)."""
+    subsamplingRate, gamma -> minInfoGain, scale_pos_weight -> weightCol.
+    Approximations: colsample_bytree -> featureSubsetStrategy (drawn per
+    node, not per tree), min_child_weight -> minInstancesPerNode (rows, not
+    hessian weight); no L1/L2 leaf penalties in Spark."""
     gb = GBTClassifier(featuresCol=features_col, labelCol=label, maxIter=n_estimators, maxDepth=max_depth,
-                       stepSize=learning_rate, subsamplingRate=subsample, minInfoGain=gamma, seed=seed)
+                       stepSize=learning_rate, subsamplingRate=subsample, minInfoGain=gamma, featureSubsetStrategy=max_features,
+                       minInstancesPerNode=min_samples_leaf, seed=seed)
     if weight_col:
         gb.setWeightCol(weight_col)
     return gb

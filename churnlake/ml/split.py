@@ -9,8 +9,6 @@ counts, so a class holding most rows is still spread over many tasks.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,12 +64,10 @@ def class_weights(df: DataFrame, label: str = "churned", pos_factor: float = 1.0
 
 
 def with_weights(df: DataFrame, label: str = "churned", balanced: bool = True, pos_factor: float = 1.0,
-                 out: str = "weight") -> DataFrame:
+                 out: str = "weight", fit_on: DataFrame | None = None) -> DataFrame:
+    """Adds the class weight of each row; balanced weights are counted on
+    ``fit_on`` (the training rows) when given, else on ``df`` itself."""
     if not balanced:
         return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(pos_factor))).otherwise(1.0))
-    w = class_weights(df, label, pos_factor).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)
-
-
-def ceil_div(n: int, frac: float) -> int:
-    return math.ceil(n * frac)
+    w = class_weights(df if fit_on is None else fit_on, label, pos_factor).select(label, F.col("weight").alias(out))
+    return df.join(F.broadcast(w), label)       # one row per class

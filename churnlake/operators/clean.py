@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlake.functions.columns import ts_lit
 from churnlake.functions.prefix import scalar_quantile
@@ -18,11 +19,13 @@ from churnlake.params import Params
 ENGAGEMENT_COUNTERS = ["app_logins", "recipes_viewed", "meals_skipped", "support_tickets", "referral_clicks"]
 
 
-def parse_ts(c: str | Column) -> Column:
+def parse_ts(df: DataFrame, c: str) -> Column:
     """Text -> timestamp, unparseable -> NULL (pandas ``errors='coerce'``).
-    Timestamps pass through unchanged."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(c.cast("string"))
+    A timestamp column passes through unchanged, so filters on it reach the
+    scan."""
+    if isinstance(df.schema[c].dataType, T.TimestampType):
+        return F.col(c)
+    return F.try_to_timestamp(F.col(c).cast("string"))
 
 
 def _any_null(*cols) -> Column:
@@ -32,22 +35,13 @@ def _any_null(*cols) -> Column:
     return out
 
 
-def mode_value(df: DataFrame, col: str) -> Column:
-    """Most frequent non-NULL value, smallest on ties, as a scalar subquery.
-    Counted with a partial aggregate, so one frequent value stays cheap."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
-    best = one_row(counts.agg(F.min_by(col, F.struct((-F.col("__n")).alias("n"), F.col(col).alias("v")))
-                              .alias("m")))["m"]
-    return F.lit(best).cast(df.schema[col].dataType)
-
-
 def clean_users(users: DataFrame, params: Params = Params(), flag_col: str | None = None) -> DataFrame:
     """A1: parse signup_date; keep 18 <= age <= 100 (NULL age dropped); NULL
     city -> mode of the kept rows (smallest on ties, 'Unknown' if none);
     NULL diet -> 'balanced'.  The fitted mode and the earliest signup date
     (needed by ``clean_orders``) come from one job; the latter is kept on
     the frame's ``min_signup_date`` attribute."""
-    kept = users.withColumn("signup_date", parse_ts("signup_date")).where(F.col("age").between(18, 100))
+    kept = users.withColumn("signup_date", parse_ts(users, "signup_date")).where(F.col("age").between(18, 100))
     if flag_col:
         kept = kept.withColumn(flag_col, _any_null("city", "dietary_preference"))
     per_city = kept.groupBy("city").agg(F.count(F.lit(1)).alias("__n"), F.min("signup_date").alias("__s"))
@@ -82,7 +76,7 @@ def clean_orders(orders: DataFrame, min_date, max_date, params: Params = Params(
     """
     min_date = min_date if isinstance(min_date, Column) else ts_lit(min_date)
     max_date = max_date if isinstance(max_date, Column) else ts_lit(max_date)
-    o = orders.withColumn("order_date", parse_ts("order_date"))
+    o = orders.withColumn("order_date", parse_ts(orders, "order_date"))
     o = o.where((F.col("order_date") >= min_date) & (F.col("order_date") <= max_date)
                 & (F.col("order_value") > 0))
     # Only the unrated rows need the user's mean: the rated rows are not
@@ -109,8 +103,8 @@ def clean_orders(orders: DataFrame, min_date, max_date, params: Params = Params(
 def clean_subscriptions(subs: DataFrame, params: Params = Params(), flag_col: str | None = None) -> DataFrame:
     """A4: NULL or too-early end -> start + 30 days; NULL price -> median
     price; NULL status -> 'active'; NULL reason -> ''."""
-    s = (subs.withColumn("start_date", parse_ts("start_date"))
-             .withColumn("end_date", parse_ts("end_date")))
+    s = (subs.withColumn("start_date", parse_ts(subs, "start_date"))
+             .withColumn("end_date", parse_ts(subs, "end_date")))
     fixed_end = F.timestamp_add("DAY", F.lit(params.default_end_days), F.col("start_date"))
     if flag_col:
         s = s.withColumn(flag_col, _any_null("end_date", "monthly_price", "status", "cancellation_reason")
@@ -126,7 +120,7 @@ def clean_subscriptions(subs: DataFrame, params: Params = Params(), flag_col: st
 def clean_engagement(eng: DataFrame, params: Params = Params(), flag_col: str | None = None) -> DataFrame:
     """A5: parse week_date; negative counters -> 0 (NULL stays NULL; not
     ``greatest``, which would turn NULL into 0)."""
-    e = eng.withColumn("week_date", parse_ts("week_date"))
+    e = eng.withColumn("week_date", parse_ts(eng, "week_date"))
     if flag_col:
         neg = F.lit(False)
         for c in ENGAGEMENT_COUNTERS:
@@ -148,11 +142,10 @@ def clean_profile(pairs: dict[str, tuple[DataFrame, DataFrame]], flag_col: str =
     side, no second pass over the cleaned rows."""
     out = None
     for name, (raw, cleaned) in pairs.items():
-        n_in = one_row(raw.agg(F.count(F.lit(1)).alias("rows_in")))
-        kept = one_row(cleaned.agg(F.count(F.lit(1)).alias("rows_kept"),
-                                   F.count_if(F.col(flag_col)).alias("rows_filled")))
-        row = raw.sparkSession.createDataFrame(
-            [(name, n_in["rows_in"], kept["rows_kept"], kept["rows_filled"])],
-            "table_name string, rows_in bigint, rows_kept bigint, rows_filled bigint")
+        zero = F.lit(0).cast("bigint")
+        rows = (raw.agg(F.count(F.lit(1)).alias("rows_in")).select("rows_in", zero.alias("rows_kept"), zero.alias("rows_filled"))
+                   .unionByName(cleaned.agg(F.count(F.lit(1)).alias("rows_kept"), F.count_if(F.col(flag_col)).alias("rows_filled"))
+                                       .select(zero.alias("rows_in"), "rows_kept", "rows_filled")))
+        row = rows.select(F.lit(name).alias("table_name"), "rows_in", "rows_kept", "rows_filled")
         out = row if out is None else out.unionByName(row)
-    return out
+    return out.groupBy("table_name").agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_kept", "rows_filled")])

@@ -82,14 +82,14 @@ def end_date_buckets(subs: DataFrame, params: Params = Params()) -> DataFrame:
     return c.withColumn("share", F.col("n") / F.lit(total))
 
 
-def target_correlation(df: DataFrame, features: Sequence[str], label: str = "churned", top: int = 15) -> DataFrame:
+def target_correlation(df: DataFrame, features: Sequence[str], label: str = "churned", top: int | None = 15) -> DataFrame:
     """Pearson r of each feature with the label (undefined dropped),
-    largest |r| first, top ``top`` (the report's size)."""
+    largest |r| first, top ``top`` (the report's size; None: all)."""
     r = df.agg(*[F.corr(F.col(f).cast("double"), F.col(label).cast("double")).alias(f) for f in features])
     long = r.unpivot([], list(features), "feature", "correlation")
     long = long.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
-    return (long.withColumn("abs_correlation", F.abs("correlation"))
-                .orderBy(F.col("abs_correlation").desc(), "feature").limit(top))
+    long = long.withColumn("abs_correlation", F.abs("correlation"))
+    return long if top is None else long.orderBy(F.col("abs_correlation").desc(), "feature").limit(top)
 
 
 def group_correlation(corr: DataFrame, groups: dict = FEATURE_GROUPS) -> DataFrame:

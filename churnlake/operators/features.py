@@ -172,11 +172,13 @@ def ordinal_encode(df: DataFrame, col: str, order_key: str, out_col: str | None
 
 
 def one_hot(users_clean: DataFrame) -> DataFrame:
-    """0/1 columns for the fixed diet and referral vocabularies."""
+    """0/1 columns for the fixed diet and referral vocabularies; a NULL
+    or unknown category is 0 everywhere."""
     return users_clean.select(
         "user_id",
-        *[(F.col("dietary_preference") == v).cast("bigint").alias(f"diet_{v}") for v in DIET_VALUES],
-        *[(F.col("referral_source") == v).cast("bigint").alias(f"referral_{v}") for v in REFERRAL_VALUES])
+        *[F.coalesce(F.col("dietary_preference") == v, F.lit(False)).cast("bigint").alias(f"diet_{v}") for v in DIET_VALUES],
+        *[F.coalesce(F.col("referral_source") == v, F.lit(False)).cast("bigint").alias(f"referral_{v}")
+          for v in REFERRAL_VALUES])
 
 
 def _typed(name: str) -> str:

@@ -69,7 +69,7 @@ def ranking_metrics(df: DataFrame, y: str = "y", p: str = "p", digits: int | Non
     precision (step sum of recall increments times precision), F4 Brier
     score on probabilities clipped to [.001, .999]."""
     t = threshold_table(df, y, p, group_cols)
-    auc = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2.0)) / (F.first("n_pos") * F.first("n_neg"))
+    auc = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") + F.col("pos") / 2.0)) / (F.first("n_pos").cast("double") * F.first("n_neg"))
     ap = F.sum(F.col("pos") / F.col("n_pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
     r = t.groupBy(*group_cols).agg(
         F.when((F.first("n_pos") > 0) & (F.first("n_neg") > 0), auc).alias("roc_auc"),

@@ -106,10 +106,10 @@ def q_target_correlation(spark, sf_dir):
 @query("group_correlation", "WITH" + _CORR_SQL + ", gm AS (SELECT * FROM (VALUES {vals}) t(grp, feature))".format(
     vals=", ".join(f"('{g}', '{f}')" for g, fs in J.FEATURE_GROUPS.items() for f in fs)) + """
   SELECT grp, max(abs_correlation) AS max_abs_r, avg(abs_correlation) AS mean_abs_r
-  FROM (SELECT * FROM corr_long ORDER BY abs_correlation DESC, feature LIMIT 15) c JOIN gm USING (feature)
+  FROM corr_long c JOIN gm USING (feature)
   GROUP BY grp""", dbl=["max_abs_r", "mean_abs_r"])
 def q_group_correlation(spark, sf_dir):
-    return J.group_correlation(J.target_correlation(Domain(spark, sf_dir, P).matrix, FEATURES))
+    return J.group_correlation(J.target_correlation(Domain(spark, sf_dir, P).matrix, FEATURES, top=None))
 
 
 @query("score_percentiles", _scores_sql("""

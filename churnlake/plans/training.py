@@ -36,7 +36,8 @@ def prepared(spark, sf_dir, matrix: DataFrame | None = None) -> DataFrame:
     z = ML.standardize(train, {"all": s})["all"]
     z = ML.assemble(z, [f"z_{f}" for f in FEATURES], "features")
     z = ML.assemble(z, FEATURES, "raw_features")
-    z = with_weights(z, balanced=True, out="w_balanced").withColumn("w_none", F.lit(1.0))
+    # class weights come from the training rows alone: no held-out label is seen
+    z = with_weights(z, balanced=True, out="w_balanced", fit_on=train).withColumn("w_none", F.lit(1.0))
     z = with_weights(z, balanced=False, pos_factor=float(GB_DEFAULTS["scale_pos_weight"]), out="w_pos")
     z = z.join(stratified_folds(s.where(F.col("split") == "train").select("user_id", "churned"), CV_FOLDS,
                                 seed=P.seed).select("user_id", "fold"), "user_id", "left")
@@ -60,4 +61,5 @@ def fit_forest(train: DataFrame):
 def fit_boosted(train: DataFrame):
     return ML.boosted(n_estimators=GB_DEFAULTS["n_estimators"], max_depth=GB_DEFAULTS["max_depth"],
                       learning_rate=GB_DEFAULTS["learning_rate"], subsample=GB_DEFAULTS["subsample"],
+                      max_features=str(GB_DEFAULTS["colsample_bytree"]), min_samples_leaf=GB_DEFAULTS["min_child_weight"],
                       weight_col="w_pos", features_col="raw_features", seed=P.seed).fit(train)
