@@ -19,6 +19,7 @@ from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, F
                                ShortType)
 
 from churnlake.functions.columns import ts_lit
+from churnlake.functions.prefix import prefix_sums
 
 
 def normalize_types(df: DataFrame, keep: Sequence[str] = ("user_id", "event_timestamp", "churned")) -> DataFrame:
@@ -43,11 +44,17 @@ def normalize_types(df: DataFrame, keep: Sequence[str] = ("user_id", "event_time
 
 
 def publish_features(df: DataFrame, event_timestamp: dt.datetime, key: str = "user_id",
-                     labels: Sequence[str] = ("churned",)) -> DataFrame:
-    """Key coerced to bigint (unconvertible -> 0), labels removed,
+                     labels: Sequence[str] = ("churned",), order_by: str | None = None) -> DataFrame:
+    """Without a key column the rows are numbered from 1 by the unique
+    column ``order_by`` (prefix counts, no single-task window); key coerced to bigint (unconvertible -> 0), labels removed,
     ``event_timestamp`` stamped (a job parameter) and ``event_date`` added
     as the partition column of the written table."""
     out = df.drop(*[c for c in labels if c in df.columns])
+    if key not in out.columns:
+        if order_by is None:
+            raise ValueError(f"no {key} column: order_by must name a unique column to number the rows by")
+        out = (prefix_sums(out.withColumn("__one", F.lit(1).cast("bigint")), order_by, ["__one"])
+               .withColumnRenamed("cum___one", key).drop("__one"))
     out = out.withColumn(key, F.coalesce(F.col(key).try_cast("bigint"), F.lit(0).cast("bigint")))
     out = normalize_types(out, keep=(key,))
     return (out.withColumn("event_timestamp", ts_lit(event_timestamp))

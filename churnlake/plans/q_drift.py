@@ -224,9 +224,9 @@ def q_latest_reference(spark, sf_dir):
 @query("list_reports")
 def q_list_reports(spark, sf_dir):
     """H9: the per-year reports written as JSON files (S5), read back as a
-    folder (S6, malformed files dropped), newest 3 by file name."""
+    folder (S6, malformed files dropped), newest 10 by file name."""
     path = shared_path(spark, "drift_reports")
     rep = _history(spark, sf_dir)
     io.write_reports_json(rep.withColumn("report", F.concat(F.lit("drift_report_"), F.col("b").cast("string"))),
                           path, "report")
-    return io.list_reports(spark, path, 3)
+    return io.list_reports(spark, path)

@@ -21,7 +21,6 @@ from churnlake.sources import io
 
 ENG_FEATURES = ["app_logins", "recipes_viewed", "meals_skipped", "support_tickets", "referral_clicks"]
 SPLIT_WEEK = dt.datetime(2001, 5, 21)
-PIT_FROM = dt.datetime(2001, 5, 1)
 
 
 def weekly_table(spark, sf_dir):
@@ -81,12 +80,10 @@ def q_merge_incremental(spark, sf_dir):
   FROM raw_orders o LEFT JOIN LATERAL (
     SELECT * FROM weekly w WHERE w.user_id = o.user_id AND w.event_timestamp <= o.order_date
       AND w.event_timestamp >= o.order_date - INTERVAL 3650 DAY
-    ORDER BY w.event_timestamp DESC LIMIT 1) w ON true
-  WHERE o.order_date >= TIMESTAMP '2001-05-01 00:00:00'""", ts=["label_ts", "feature_ts"])
+    ORDER BY w.event_timestamp DESC LIMIT 1) w ON true""", ts=["label_ts", "feature_ts"])
 def q_point_in_time_join(spark, sf_dir):
     d = Domain(spark, sf_dir, P)
-    ev = d.raw_orders.where(F.col("order_date") >= ts_lit(PIT_FROM)) \
-        .select("order_id", "user_id", F.col("order_date").alias("label_ts"))
+    ev = d.raw_orders.select("order_id", "user_id", F.col("order_date").alias("label_ts"))
     return FT.point_in_time_join(ev, weekly_table(spark, sf_dir), "order_id", 3650, features=ENG_FEATURES)
 
 

@@ -25,6 +25,33 @@ def q_load_raw(spark, sf_dir):
     return io.load_csv(spark, path, RAW_USERS_SCHEMA)
 
 
+def _raw_tables(spark, sf_dir):
+    d = Domain(spark, sf_dir, P)
+    return {"users": d.raw_users, "orders": d.raw_orders, "subscriptions": d.raw_subscriptions,
+            "engagement": d.raw_engagement, "labels": d.labels.select("user_id", "churned")}
+
+
+@query("load_raw_tables", """
+  SELECT 'users' AS table_name, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, sum(user_id) AS sum_user_id FROM raw_users
+  UNION ALL SELECT 'orders', count(*), count(DISTINCT user_id), sum(user_id) FROM raw_orders
+  UNION ALL SELECT 'subscriptions', count(*), count(DISTINCT user_id), sum(user_id) FROM raw_subs
+  UNION ALL SELECT 'engagement', count(*), count(DISTINCT user_id), sum(user_id) FROM raw_eng
+  UNION ALL SELECT 'labels', count(*), count(DISTINCT user_id), sum(user_id) FROM labels""",
+       ints=["n_rows", "n_users", "sum_user_id"])
+def q_load_raw_tables(spark, sf_dir):
+    """The five raw tables from CSV files with declared schemas."""
+    tables, base = _raw_tables(spark, sf_dir), shared_path(spark, "raw")
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("header", True).csv(f"{base}/{name}.csv")
+    schemas = {name: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) for name, df in tables.items()}
+    out = None
+    for name, df in io.load_tables(spark, base, schemas).items():
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_id").alias("n_users"),
+                     F.sum("user_id").alias("sum_user_id")).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("csv_sink_counts", """
   SELECT 'users' AS table_name, count(*) AS rows_written FROM raw_users
   UNION ALL SELECT 'orders', count(*) FROM raw_orders
@@ -47,7 +74,17 @@ def q_read_by_suffix(spark, sf_dir):
     e = Domain(spark, sf_dir, P).engagement
     base = shared_path(spark, "engagement")
     io.write_counted(e, f"{base}/engagement.parquet", "parquet")
-    io.write_counted(e, f"{base}/engagement.csv", "csv")
+    e.write.mode("overwrite").option("header", True).csv(f"{base}/engagement.csv")
     path = io.first_existing(spark, [f"{base}/missing.parquet", f"{base}/engagement.parquet",
                                      f"{base}/engagement.csv"])
     return io.read_by_suffix(spark, path).select(*e.columns)
+
+
+@query("read_by_suffix_csv", "SELECT * FROM clean_eng", ts=["week_date"])
+def q_read_by_suffix_csv(spark, sf_dir):
+    """S7 + S8 where only the CSV copy exists: read with the declared schema."""
+    e = Domain(spark, sf_dir, P).engagement
+    base = shared_path(spark, "engagement_csv")
+    e.write.mode("overwrite").option("header", True).csv(f"{base}/engagement.csv")
+    path = io.first_existing(spark, [f"{base}/engagement.parquet", f"{base}/engagement.csv"])
+    return io.read_by_suffix(spark, path, e.schema).select(*e.columns)

@@ -181,9 +181,23 @@ def q_business_rule_violations(spark, sf_dir):
     return v.select("user_id", F.explode("violations").alias("rule"))
 
 
-@query("schema_check")
+_CHECKED = ["user_id", *[f for f in FEATURES if f != "monthly_price"]]
+
+
+@query("schema_check", """
+  SELECT "column", status, n_values, n - n_values AS n_null, n_not_numeric FROM (
+    SELECT unnest([{names}]) AS "column", unnest([{status}]) AS status, count(*) AS n, unnest([{values}]) AS n_values,
+           unnest([{bad}]) AS n_not_numeric FROM matrix)""".format(
+    names=", ".join(f"'{c}'" for c in [*_CHECKED, "monthly_price", "extra"]),
+    status=", ".join([*["'ok'"] * len(_CHECKED), "'missing'", "'unknown'"]),
+    values=", ".join([*[f"count({c})" for c in _CHECKED], "0", "count_if(user_id % 2 = 0)"]),
+    bad=", ".join([*["0"] * len(_CHECKED), "0", "count_if(user_id % 6 = 0)"])), ints=["n_values", "n_null", "n_not_numeric"])
 def q_schema_check(spark, sf_dir):
-    return Q.schema_check(_matrix(spark, sf_dir).drop("monthly_price").withColumn("extra", F.lit(1)))
+    """D3 over the feature rows, with one column taken away and one put in
+    that is null for odd users and text for every sixth."""
+    extra = F.when(F.col("user_id") % 6 == 0, "none").when(F.col("user_id") % 2 == 0, "1.5")
+    m = _matrix(spark, sf_dir).select("user_id", *[f for f in FEATURES if f != "monthly_price"])
+    return Q.schema_check(m.withColumn("extra", extra))
 
 
 @query("default_features", "SELECT user_id, {cols} FROM joined".format(cols=", ".join(

@@ -32,11 +32,5 @@ def query(name: str, sql: str | None = None, dbl=(), ts=(), ints=()):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from churnlake.plans import q_domain  # noqa: F401
-    for mod in ("q_metrics", "q_scoring", "q_drift", "q_diagnostics", "q_feature_table",
-                "q_streaming", "q_ml", "q_io"):
-        try:
-            __import__(f"churnlake.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
+    from churnlake.plans import (q_diagnostics, q_domain, q_drift, q_feature_table,  # noqa: F401
+                                 q_io, q_metrics, q_ml, q_scoring, q_streaming)

@@ -23,6 +23,13 @@ def load_csv(spark: SparkSession, path: str, schema: StructType | str, header: b
                  .option("nullValue", "").csv(path))
 
 
+def load_tables(spark: SparkSession, base: str, schemas: dict[str, str], header: bool = True) -> dict[str, DataFrame]:
+    """Every raw table ``<base>/<name>.csv`` with its declared schema; a
+    missing one is an error before anything is read."""
+    paths = {name: first_existing(spark, [f"{base}/{name}.csv"]) for name in schemas}
+    return {name: load_csv(spark, paths[name], schema, header) for name, schema in schemas.items()}
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S2 / S4 scan."""
     return spark.read.parquet(path)
