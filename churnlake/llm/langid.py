@@ -20,12 +20,14 @@ from .common import crc_mod, sample_by_hash
 
 #: Bound of the labelled sample: so many slices of so many characters per language,
 #: and at most so many languages (the most frequent).
-SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGS = 64, 400, 64
+SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGS = 128, 400, 64
 #: A text is parsed in pieces of so many characters (all of it; a phrase ends at a piece's end).
 PIECE = 1024
 #: Characters parsed together.
 SLAB_CHARS = 1 << 21
 UNDECIDED = "und"
+#: Bits of a transition that hold the next state; those above count ended phrases.
+_STATE = 29
 #: A text that takes more phrases per character than this in every language is in none of them.
 MOST_PHRASES = 0.6
 
@@ -77,28 +79,24 @@ class Parser:
             if letter[i] and code[i] == 0 and len(low := chr(i).lower()) == 1:
                 code[i] = code[ord(low)]
         self.letter, self.code, self.width = letter, code, len(used) + 2
-        tables, roots, base = [], [], 0
+        self.tables = []
         for lang in self.langs:
             text = []
             for t in samples[lang]:
                 text += [int(x) for x in self.encode(t)[0]] + [-1]  # -1 stands in no document: no match crosses slices
             go = suffix_automaton(text)
-            table = np.full((len(go), self.width), -1, np.int64)
+            table = np.full((len(go), self.width), -1, np.int32)
             for s, step in enumerate(go):
                 for c, to in step.items():
                     if c > 0:
                         table[s, c] = to
-            # a miss ends the phrase and starts the next one with this character; bits from 40 on
+            # a miss ends the phrase and starts the next one with this character; the high bits
             # count. A character that no phrase can start with is one by itself; the start state then has none open
             known = table[0] >= 0
-            miss = np.where(known, table[0] | (1 << 40), 2 << 40)
+            miss = np.where(known, table[0] * self.width | (1 << _STATE), 2 << _STATE)
             alone = ~known & (np.arange(len(table)) == 0)[:, None]
-            table = np.where(alone, 1 << 40, np.where(table >= 0, table, miss))
-            tables.append(((table & ((1 << 40) - 1)) + base) * self.width + (table >> 40 << 40))
-            roots.append(base * self.width)
-            base += len(go)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int64)
-        self.roots = np.array(roots, np.int64)
+            table = np.where(alone, 1 << _STATE, np.where(table >= 0, table * self.width, miss))
+            self.tables.append(table.astype(np.int32).ravel())
 
     def encode(self, text: str):
         """(symbols, has_letter); runs of non-letters become one space."""
@@ -120,16 +118,16 @@ class Parser:
         for k, (_, p) in enumerate(pieces):
             grid[:len(p), k] = p
         live = np.searchsorted(-sizes, -np.arange(sizes[0]) - 1, side="right")
-        mask = (1 << 40) - 1
+        mask = (1 << _STATE) - 1
         total = np.zeros((len(pieces), len(self.langs)), np.int64)
-        for k, root in enumerate(self.roots):
-            state = np.full(len(pieces), root, np.int64)  # the high bits carry the count
+        for k, table in enumerate(self.tables):
+            state, count = np.zeros(len(pieces), np.int32), total[:, k]
             for t in range(len(grid)):
                 n = live[t]
-                s = state[:n]
-                step = self.table[(s & mask) + grid[t, :n]]
-                state[:n] = (s & ~mask) + step
-            total[:, k] = (state >> 40) + ((state & mask) != root)
+                step = table[state[:n] + grid[t, :n]]
+                state[:n] = step & mask
+                count[:n] += step >> _STATE
+            count += state != 0
         np.add.at(out, np.array([i for i, _ in pieces]), total)
         return out
 
