@@ -141,57 +141,65 @@ def _numbered(arr: Column, prefix: str, suffix: str) -> Column:
                                                                F.lit(". "), a, F.lit(suffix))), "")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` over ``value`` evaluated once per row, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def recommendation(p: Column, risk: Column, explanations: Column | None = None) -> Column:
     """Retention text per risk level from the (optional) explanation
-    array, with the fixed fallbacks when there are no usable signals."""
+    array, with the fixed fallbacks when there are no usable signals. The
+    explanations are sorted and split once per row."""
     pct = fmt(p, 2, percent=True)
+    medium_fallback = F.lit("\n\nRecommended actions:\n" + "\n".join(f"  - {a}" for a in T.MEDIUM_FALLBACK_ACTIONS))
+    high_fallback = F.lit("\n\nRecommended actions:\n"
+                          + "".join(f"  {i}. {a}\n" for i, a in enumerate(T.HIGH_FALLBACK_ACTIONS, 1)))
+
+    def by_risk(low, medium, high):
+        return F.when(risk == "Low", low).when(risk == "Medium", medium).otherwise(F.regexp_replace(high, r"\s+$", ""))
+
     if explanations is None:
-        explanations = F.lit(None).cast("array<struct<feature:string,value:double,impact:double>>")
-    expl = F.coalesce(explanations, F.array().cast("array<struct<feature:string,value:double,impact:double>>"))
-    srt = _sorted_by_abs(expl)
-    inc = F.filter(srt, lambda e: e["impact"] > T.SIGNAL_MIN_IMPACT)
-    dec = F.filter(srt, lambda e: e["impact"] < -T.SIGNAL_MIN_IMPACT)
-    neg = F.filter(srt, lambda e: e["impact"] < 0)
+        return by_risk(_fill(T.LOW_FALLBACK, p=pct), F.concat(_fill(T.MEDIUM_BASE, p=pct), medium_fallback),
+                       F.concat(_fill(T.HIGH_BASE, p=pct), high_fallback))
 
-    def actions(n):
+    def actions(inc, n):
         return F.transform(F.filter(F.slice(inc, 1, n), lambda e: _mapped(e["feature"])),
                            lambda e: _by_feature(e["feature"], lambda name, entry: F.lit(entry[2])))
 
-    # Low
-    best = F.element_at(neg, 1)
-    low_strength = _fill(T.LOW_STRENGTH, p=pct,
-                         s=_by_feature(best["feature"], lambda name, entry: F.lit(entry[3])))
-    low = F.when((F.size(neg) > 0) & _mapped(best["feature"]), low_strength).otherwise(_fill(T.LOW_FALLBACK, p=pct))
-    # Medium
-    sig2 = F.transform(F.slice(inc, 1, 2), _signal)
-    base_m = F.when(F.size(sig2) > 0, _fill(T.MEDIUM_SIGNALS, p=pct, s=F.array_join(sig2, "; "))) \
-              .otherwise(_fill(T.MEDIUM_BASE, p=pct))
-    act2 = actions(2)
-    medium = F.when(F.size(act2) > 0,
-                    F.concat(base_m, F.lit("\n\nRecommended actions:\n  "),
-                             F.array_join(F.transform(act2, lambda a, i: F.concat((i + 1).cast("string"),
-                                                                                   F.lit(". "), a)), "\n  ")))\
-              .otherwise(F.concat(base_m, F.lit("\n\nRecommended actions:\n"
-                                                + "\n".join(f"  - {a}" for a in T.MEDIUM_FALLBACK_ACTIONS))))
-    # High
-    sig4 = F.transform(F.slice(inc, 1, 4), _signal)
-    str2 = F.transform(F.slice(dec, 1, 2), _strength)
-    act4 = actions(4)
-    high = F.concat(
-        _fill(T.HIGH_BASE, p=pct),
-        F.when(F.size(sig4) > 0, F.concat(F.lit("\n\nRisk signals:\n"),
-                                          F.array_join(F.transform(sig4, lambda s: F.concat(F.lit("  - "), s,
-                                                                                             F.lit("\n"))), "")))
-         .otherwise(F.lit("")),
-        F.when(F.size(str2) > 0, F.concat(F.lit("\nStrengths to leverage:\n"),
-                                          F.array_join(F.transform(str2, lambda s: F.concat(F.lit("  - "), s,
-                                                                                             F.lit("\n"))), "")))
-         .otherwise(F.lit("")),
-        F.when(F.size(act4) > 0, F.concat(F.lit("\nRecommended actions:\n"), _numbered(act4, "  ", "\n")))
-         .otherwise(F.lit("\n\nRecommended actions:\n"
-                          + "".join(f"  {i}. {a}\n" for i, a in enumerate(T.HIGH_FALLBACK_ACTIONS, 1)))))
-    high = F.regexp_replace(high, r"\s+$", "")
-    return F.when(risk == "Low", low).when(risk == "Medium", medium).otherwise(high)
+    def low(best):
+        strength = _fill(T.LOW_STRENGTH, p=pct, s=_by_feature(best["feature"], lambda name, entry: F.lit(entry[3])))
+        return F.when(best.isNotNull() & _mapped(best["feature"]), strength).otherwise(_fill(T.LOW_FALLBACK, p=pct))
+
+    def medium(x):
+        base = F.when(F.size(x["sig"]) > 0, _fill(T.MEDIUM_SIGNALS, p=pct, s=F.array_join(x["sig"], "; "))) \
+                .otherwise(_fill(T.MEDIUM_BASE, p=pct))
+        listed = F.array_join(F.transform(x["act"], lambda a, i: F.concat((i + 1).cast("string"), F.lit(". "), a)), "\n  ")
+        return F.concat(base, F.when(F.size(x["act"]) > 0, F.concat(F.lit("\n\nRecommended actions:\n  "), listed))
+                        .otherwise(medium_fallback))
+
+    def lines(title, arr):
+        each = F.transform(arr, lambda s: F.concat(F.lit("  - "), s, F.lit("\n")))
+        return F.when(F.size(arr) > 0, F.concat(F.lit(title), F.array_join(each, ""))).otherwise(F.lit(""))
+
+    def high(x):
+        return F.concat(_fill(T.HIGH_BASE, p=pct), lines("\n\nRisk signals:\n", x["sig"]),
+                        lines("\nStrengths to leverage:\n", x["str"]),
+                        F.when(F.size(x["act"]) > 0, F.concat(F.lit("\nRecommended actions:\n"), _numbered(x["act"], "  ", "\n")))
+                         .otherwise(high_fallback))
+
+    def body(g):
+        inc, dec, neg = g["inc"], g["dec"], g["neg"]
+        return by_risk(
+            _let(F.get(neg, F.lit(0)), low),
+            _let(F.struct(F.transform(F.slice(inc, 1, 2), _signal).alias("sig"), actions(inc, 2).alias("act")), medium),
+            _let(F.struct(F.transform(F.slice(inc, 1, 4), _signal).alias("sig"),
+                          F.transform(F.slice(dec, 1, 2), _strength).alias("str"), actions(inc, 4).alias("act")), high))
+
+    expl = F.coalesce(explanations, F.array().cast("array<struct<feature:string,value:double,impact:double>>"))
+    return _let(_sorted_by_abs(expl), lambda srt: _let(
+        F.struct(F.filter(srt, lambda e: e["impact"] > T.SIGNAL_MIN_IMPACT).alias("inc"),
+                 F.filter(srt, lambda e: e["impact"] < -T.SIGNAL_MIN_IMPACT).alias("dec"),
+                 F.filter(srt, lambda e: e["impact"] < 0).alias("neg")), body))
 
 
 def batch_score(features_df: DataFrame, stats: DataFrame, coefficients, intercept: float, threshold: float,
