@@ -22,9 +22,9 @@ from .common import keyed, mix64, prefix_hash, slabs, span_hash, stored, utf8
 #: Window starts handled in one numpy step; positions inside fit the low bits of a packed hash.
 _STEP_BITS = 20
 _STEP = (1 << 19)
-#: Different contexts of one anchor that one task sorts together; an anchor with more
-#: is dealt out, and the sorted parts are merged by window.
-SORT_ROWS = 256
+#: Different contexts of one anchor that one task sorts together (some 150 MB); an anchor with
+#: more is dealt out, and the sorted parts are merged by window.
+SORT_ROWS = 8192
 #: Window starts sorted in one numpy step.
 _CHUNK = 200_000
 
@@ -271,7 +271,8 @@ def repeated_starts(docs: DataFrame, span: int = 400, gram: int = 200) -> DataFr
     also start anywhere else in the corpus."""
     rows = keyed(docs)
     marks = anchors(docs, span, gram)
-    known = marks.groupBy("gram_hash").agg(F.count("*").alias("n")).filter("n > 1").select("gram_hash")
+    # written first: next to a plain exchange on either side, Spark can split an anchor that stands very often
+    known = stored(marks.groupBy("gram_hash").agg(F.count("*").alias("n")).filter("n > 1").select("gram_hash"), "suffix-repeated")
     # everything below works on anchors that stand at two places at least
     some = stored(marks.join(known, "gram_hash"), "suffix-anchors")
     group = (some.groupBy("gram_hash", "context")
