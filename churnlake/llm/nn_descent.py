@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,11 +20,14 @@ from .common import cut, stored
 DEGREE, REVERSE = 32, 24
 #: Start: so many random orders (by hyperplane signs), cut into blocks of so many nodes,
 #: and the neighbours that a block gives each of its nodes.
-ORDERS, BLOCK, BLOCK_NEAR = 16, 384, 16
+ORDERS, BLOCK, BLOCK_NEAR = 16, 384, 14
+#: Nodes (as powers of two) whose neighbourhoods are compared together in the graph's rounds, and
+#: searched together: a vector is sent once to each block that needs it.
+CENTERS, AREA = 8, 13
 #: Rounds of neighbours of neighbours at most, and the share of changed entries that ends them.
-ROUNDS, SETTLED = 6, 0.01
+ROUNDS, SETTLED = 4, 0.02
 #: Search: pool per query, nodes expanded per round, rounds at most.
-POOL, EXPAND, SEARCH_ROUNDS = 256, 40, 6
+POOL, EXPAND, SEARCH_ROUNDS = 320, 64, 5
 
 
 def usable(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -48,6 +53,8 @@ def _raw(m: np.ndarray) -> pa.Array:
 
 def _floats(col) -> np.ndarray:
     """(rows, dims) float32 of a binary column of equal-length rows of float16."""
+    if not len(col):
+        return np.zeros((0, 1), np.float32)
     _, offs, data = col.buffers()
     o = np.frombuffer(offs, np.int32)[col.offset:col.offset + len(col) + 1]
     x = np.frombuffer(data, np.uint8)[o[0]:o[-1]] if data is not None else np.zeros(0, np.uint8)
@@ -109,18 +116,38 @@ def _top(a, b, sim, k):
     return a[ok], b[ok], sim[ok]
 
 
+def _coded(batches, orders: int):
+    """(code, node, x) for each random order: the signs of the vector against 30 random hyperplanes."""
+    for b in batches:
+        x = _floats(b.column(1))
+        for order in range(orders):
+            planes = np.random.default_rng(1000 + order).standard_normal((x.shape[1], 30))
+            bits = (x @ planes > 0).astype(np.int64) @ (1 << np.arange(30, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(bits + (order << 30)), b.column(0), b.column(1)], ["code", "node", "x"])
+
+
+def blocks(units: DataFrame) -> DataFrame:
+    """(node, number, x): nodes numbered along one random order. The high bits of a number name
+    the node's block, a stretch of so many nodes at most, so no join is needed to tell it."""
+    def run(batches):
+        first = TaskContext.get().partitionId() << 36
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(first + np.arange(len(b))), b.column(2)], ["node", "number", "x"])
+            first += len(b)
+
+    order = units.mapInArrow(lambda it: _coded(it, 1), "code long, node long, x binary")
+    return (order.repartitionByRange("code", "node").sortWithinPartitions("code", "node")
+            .mapInArrow(run, "node long, number long, x binary"))
+
+
+def _block(node: str, bits: int):
+    return F.shiftright(F.col(node), bits)
+
+
 def _start(units: DataFrame) -> DataFrame:
     """Pairs (a, b, sim) within blocks of nodes that are neighbours in some random order:
     sorted by the signs against random hyperplanes, then cut every BLOCK rows. Blocks
     have a fixed size, so clusters and hot spots cannot overfill one."""
-    def coded(batches):
-        for b in batches:
-            x = _floats(b.column(1))
-            for order in range(ORDERS):
-                planes = np.random.default_rng(1000 + order).standard_normal((x.shape[1], 30))
-                bits = (x @ planes > 0).astype(np.int64) @ (1 << np.arange(30, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(bits + (order << 30)), b.column(0), b.column(1)], ["code", "node", "x"])
-
     def near(batches):
         ids, vecs = [], []
 
@@ -147,9 +174,11 @@ def _start(units: DataFrame) -> DataFrame:
             if out is not None:
                 yield out
 
-    spread = units.mapInArrow(coded, "code long, node long, x binary")
+    spread = units.mapInArrow(lambda it: _coded(it, ORDERS), "code long, node long, x binary")
     # range partitions are in order, so a partition holds whole stretches of an order
-    return spread.repartitionByRange("code", "node").sortWithinPartitions("code", "node").mapInArrow(near, _PAIR)
+    # (a small table is one partition, so that no node stands alone)
+    parts = min(max(1, units.count() * ORDERS // 4096), int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return spread.repartitionByRange(parts, "code", "node").sortWithinPartitions("code", "node").mapInArrow(near, _PAIR)
 
 
 def _by_center(rows: DataFrame, solve, schema: str) -> DataFrame:
@@ -198,86 +227,122 @@ def graph(units: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataF
         back = W.partitionBy("b").orderBy(F.desc("fresh"), F.xxhash64("a"))
         behind = (edges.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= REVERSE)
                   .select(F.col("b").alias("center"), F.col("a").alias("member"), "fresh"))
-        members = ahead.union(behind).groupBy("center", "member").agg(F.max("fresh").alias("fresh"))
+        at = stored(ahead.union(behind).withColumn("block", _block("center", CENTERS)), f"ann-members-{k}")
         known = units.join(worst, F.col("node") == F.col("member"), "left").select(
             "node", "x", F.when(F.coalesce("have", F.lit(0)) >= degree, F.col("worst")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-        met = members.join(known, F.col("member") == F.col("node")).select("center", "member", "fresh", "worst", "x")
-
-        def solve(t):
-            c = t.column("center").to_numpy()
-            m = t.column("member").to_numpy()
-            fresh = t.column("fresh").to_numpy()
-            bar = t.column("worst").to_numpy()
-            x = _floats(t.column("x").chunk(0))
+        need = (at.select(F.col("block").alias("home"), F.col("member").alias("id")).distinct().join(known, F.col("id") == F.col("node"))
+                .select("home", "id", "x", "worst"))
+
+        def solve(left, right):
+            ids = right.column("id").to_numpy()
+            by = np.argsort(ids)
+            ids = ids[by]
+            x = _floats(right.column("x").combine_chunks())[by]
+            bar = right.column("worst").to_numpy()[by]
+            c = left.column("center").to_numpy()
+            order = np.argsort(c, kind="stable")
+            c = c[order]
+            m = np.searchsorted(ids, left.column("member").to_numpy()[order])
+            fresh = left.column("fresh").to_numpy()[order]
             cuts = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
-            found = []
+            found, held = [], 0
             for i, j in zip(cuts, np.append(cuts[1:], len(c))):
-                s = x[i:j] @ x[i:j].T
-                ok = (s > bar[i:j, None]) & (fresh[i:j, None] | fresh[None, i:j])
+                if not fresh[i:j].any():
+                    continue
+                one, back = np.unique(m[i:j], return_inverse=True)  # a node may be there both ways
+                new = np.bincount(back, fresh[i:j]) > 0
+                v = x[one]
+                s = v @ v.T
+                ok = (s > bar[one][:, None]) & (new[:, None] | new[None, :])
                 np.fill_diagonal(ok, False)
                 p, q = np.nonzero(ok)
-                found.append((m[i + p], m[i + q], s[p, q]))
-            a, b, s = (np.concatenate(z) for z in zip(*found))
-            a, b, s = _top(a, b, s.astype(np.float32), degree)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s)], ["a", "b", "sim"])
-
-        better = _by_center(met, solve, _PAIR).withColumn("fresh", F.lit(True))
+                found.append((one[p], one[q], s[p, q].astype(np.float32)))
+                held += len(p)
+                if held > 4_000_000:  # keep the best of each so far
+                    found, held = [_top(*(np.concatenate(z) for z in zip(*found)), degree)], 0
+            a, b, s = (np.concatenate(z) for z in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+            a, b, s = _top(a, b, s, degree)
+            return pa.table({"a": ids[a], "b": ids[b], "sim": s})
+
+        better = (at.groupBy("block").cogroup(need.groupBy("home")).applyInArrow(solve, _PAIR)).withColumn("fresh", F.lit(True))
         edges = stored(_best(edges.withColumn("fresh", F.lit(False)).unionByName(better), degree), f"ann-graph-{k + 1}")
         if edges.filter("fresh").count() <= SETTLED * total:
             break
     return edges.select("a", "b", "sim")
 
 
-def _adjacent(units: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, near, xs): the neighbours of a node both ways (those that list it: REVERSE at
-    most) with their vectors, one after another."""
+def _known(units: DataFrame, edges: DataFrame) -> DataFrame:
+    """(block, id, x, near): what searching a block takes. Each of its nodes with its neighbours both
+    ways (of those that list it, the REVERSE nearest), and the vectors of all of them, each once."""
     back = W.partitionBy("b").orderBy(F.desc("sim"), "a")
     behind = edges.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= REVERSE).select(F.col("b").alias("a"), F.col("a").alias("b"))
-    both = edges.select("a", "b").union(behind).distinct()
-    return (both.join(units, F.col("b") == F.col("node")).groupBy(F.col("a").alias("at"))
-            .agg(F.collect_list(F.struct("b", "x")).alias("n"))
-            .select(F.col("at").alias("node"), F.col("n.b").alias("near"), F.col("n.x").alias("xs")))
+    both = edges.select("a", "b").union(behind).distinct().select(_block("a", AREA).alias("block"), "a", "b")
+    lists = both.groupBy("block", F.col("a").alias("id")).agg(F.collect_list("b").alias("near"))
+    need = both.select("block", F.col("b").alias("id")).union(units.select(_block("node", AREA).alias("block"), F.col("node").alias("id"))).distinct()
+    return (need.join(lists, ["block", "id"], "left").join(units, F.col("id") == F.col("node")).select("block", "id", "x", "near"))
 
 
 def search(queries: DataFrame, units: DataFrame, edges: DataFrame, top: int) -> DataFrame:
     """(q, hit): candidates of each query (q, x) after greedy search. A query starts at its
     own node (``queries`` are nodes); each round visits the best nodes of its pool not
-    visited before and takes their neighbours, until no pool changes near the top."""
-    near = stored(_adjacent(units, edges), "ann-adjacent")
-    pool = queries.select(F.col("q"), "x", F.array(F.struct(F.col("q").alias("id"), F.lit(2.0).cast("float").alias("sim"), F.lit(False).alias("seen"))).alias("pool"))
-    schema = "q long, x binary, pool array<struct<id: long, sim: float, seen: boolean>>, moved boolean"
+    visited before, in the blocks that hold them, and takes their neighbours, until no pool
+    changes near the top."""
+    known = stored(_known(units, edges), "ann-blocks")
+    pool = queries.select("q", "x", F.array(F.struct(F.col("q").alias("id"), F.lit(2.0).cast("float").alias("sim"), F.lit(False).alias("seen"))).alias("pool"))
+    pool_type = "array<struct<id: long, sim: float, seen: boolean>>"
     pool = cut(pool)
+
+    def visit(left, right):
+        ids = right.column("id").to_numpy()
+        by = np.argsort(ids)
+        ids = ids[by]
+        x = _floats(right.column("x").combine_chunks())[by]
+        lists = right.column("near").combine_chunks()
+        q, worst = left.column("q").to_numpy(), left.column("worst").to_numpy()
+        mine = _floats(left.column("x").combine_chunks())
+        asked = left.column("nodes").to_pylist()
+        flat, offs = lists.flatten().to_numpy(), np.append(0, np.cumsum([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]))
+        out = []
+        for i in range(len(q)):
+            at = by[np.searchsorted(ids, asked[i])]
+            near = np.unique(np.concatenate([flat[offs[k]:offs[k + 1]] for k in at]))
+            sims = x[np.searchsorted(ids, near)] @ mine[i]
+            ok = sims > worst[i]
+            out.append((np.full(ok.sum(), q[i]), near[ok], sims[ok].astype(np.float32)))
+        a, b, s = (np.concatenate(z) for z in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+        return pa.table({"q": a, "id": b, "sim": s})
+
+    def merge(t):
+        c = t.column("center").to_numpy()
+        cuts = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+        rows = []
+        for i, j in zip(cuts, np.append(cuts[1:], len(c))):
+            part = t.slice(i, j - i)
+            own = next(r for r in part.filter(pc.is_valid(part.column("pool"))).to_pylist())
+            visited, old = 0, []
+            for p in own["pool"]:
+                visited += not p["seen"]
+                old.append((p["id"], p["sim"], p["seen"] or visited <= EXPAND))
+            have = {p[0] for p in old}
+            new = part.filter(pc.is_null(part.column("pool")))
+            found = dict(zip(new.column("id").to_pylist(), new.column("sim").to_pylist()))
+            old += [(n, v, False) for n, v in found.items() if n not in have]
+            old.sort(key=lambda p: (-p[1], p[0]))
+            old = old[:POOL]
+            rows.append({"q": int(c[i]), "x": own["x"], "pool": [{"id": p[0], "sim": p[1], "seen": p[2]} for p in old],
+                         "moved": any(p[0] not in have for p in old[:top + 1])})
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+            ("q", pa.int64()), ("x", pa.binary()), ("pool", pa.list_(pa.struct([("id", pa.int64()), ("sim", pa.float32()), ("seen", pa.bool_())]))), ("moved", pa.bool_())]))
+
     for _ in range(SEARCH_ROUNDS):
         step = F.expr(f"slice(filter(pool, p -> not p.seen), 1, {EXPAND})")
-        asked = pool.select("q", F.explode(step).alias("p")).select("q", F.col("p.id").alias("node"))
-        got = asked.join(near, "node").select("q", "near", "xs")
-        both = (got.select(F.col("q").alias("center"), "near", "xs", F.lit(None).cast("binary").alias("x"), F.lit(None).cast("array<struct<id: long, sim: float, seen: boolean>>").alias("pool"))
-                .union(pool.select("q", F.lit(None).cast("array<long>"), F.lit(None).cast("array<binary>"), "x", "pool")))
-
-        def solve(t):
-            c = t.column("center").to_numpy()
-            cuts = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
-            rows = []
-            for i, j in zip(cuts, np.append(cuts[1:], len(c))):
-                part = t.slice(i, j - i).to_pylist()
-                own = next(r for r in part if r["pool"] is not None)
-                x = np.frombuffer(own["x"], np.float16).astype(np.float32)
-                visited, old = 0, []
-                for p in own["pool"]:
-                    visited += not p["seen"]
-                    old.append((p["id"], p["sim"], p["seen"] or visited <= EXPAND))
-                have = {p[0] for p in old}
-                new = {n: v for r in part if r["pool"] is None for n, v in zip(r["near"], r["xs"]) if n not in have}
-                if new:
-                    sims = np.frombuffer(b"".join(new.values()), np.float16).reshape(len(new), -1).astype(np.float32) @ x
-                    old += [(n, float(s), False) for n, s in zip(new, sims)]
-                old.sort(key=lambda p: (-p[1], p[0]))
-                old = old[:POOL]
-                rows.append((int(c[i]), own["x"], [{"id": p[0], "sim": p[1], "seen": p[2]} for p in old], any(p[0] not in have for p in old[:top + 1])))
-            yield pa.RecordBatch.from_pylist([dict(zip(("q", "x", "pool", "moved"), r)) for r in rows], schema=pa.schema([
-                ("q", pa.int64()), ("x", pa.binary()), ("pool", pa.list_(pa.struct([("id", pa.int64()), ("sim", pa.float32()), ("seen", pa.bool_())]))), ("moved", pa.bool_())]))
-
-        after = cut(_by_center(both, solve, schema))
+        full = F.when(F.size("pool") >= POOL, F.element_at("pool", -1)["sim"]).otherwise(F.lit(-3.0)).cast("float")
+        asked = (pool.select("q", "x", full.alias("worst"), F.explode(step).alias("p")).withColumn("node", F.col("p.id"))
+                 .groupBy(_block("node", AREA).alias("block"), "q").agg(F.first("x").alias("x"), F.first("worst").alias("worst"), F.collect_list("node").alias("nodes")))
+        got = asked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(visit, "q long, id long, sim float")
+        both = (got.select(F.col("q").alias("center"), "id", "sim", F.lit(None).cast("binary").alias("x"), F.lit(None).cast(pool_type).alias("pool"))
+                .union(pool.select("q", F.lit(None).cast("long"), F.lit(None).cast("float"), "x", "pool")))
+        after = cut(_by_center(both, merge, f"q long, x binary, pool {pool_type}, moved boolean"))
         pool = after.drop("moved")
         if not after.filter("moved").limit(1).count():
             break
@@ -291,8 +356,10 @@ def nearest(table: DataFrame, query: str, top: int = 20, id_col: str = "vec_id",
     original vectors in double precision. Fewer usable rows give fewer results, an empty
     table gives none. Rows that repeat an id and a vector count once."""
     vectors = usable(table, id_col, vec_col)
-    nodes = stored(nodes_of(vectors, top + 1), "ann-nodes")
-    units = stored(_unit(nodes), "ann-units")
+    different = stored(nodes_of(vectors, top + 1), "ann-vectors")
+    numbered = stored(blocks(_unit(different)), "ann-numbers")
+    units = numbered.select(F.col("number").alias("node"), "x")
+    nodes = stored(different.join(numbered.select("node", "number"), "node").select(F.col("number").alias("node"), "ids", "raw"), "ann-nodes")
     edges = graph(units)
     asked = stored(vectors.filter(query).select("id", "v").distinct(), "ann-queries")
 
