@@ -154,7 +154,8 @@ def _start(units: DataFrame) -> DataFrame:
         def solve(n):
             i, x = np.concatenate(ids), np.concatenate(vecs)
             ids[:], vecs[:] = [i[n:]], [x[n:]]
-            i, x = i[:n], x[:n]
+            i, one = np.unique(i[:n], return_index=True)  # where two orders meet, a node may be there twice
+            x, n = x[:n][one], len(one)
             s = x @ x.T
             np.fill_diagonal(s, -2.0)
             k = min(BLOCK_NEAR, n - 1)
@@ -168,7 +169,8 @@ def _start(units: DataFrame) -> DataFrame:
             ids.append(b.column(1).to_numpy())
             vecs.append(_floats(b.column(2)))
             while sum(map(len, ids)) >= 2 * BLOCK:
-                yield solve(BLOCK)
+                if (out := solve(BLOCK)) is not None:
+                    yield out
         if sum(map(len, ids)) > 1:
             out = solve(sum(map(len, ids)))
             if out is not None:
