@@ -9,10 +9,10 @@ from __future__ import annotations
 import math
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +57,10 @@ class Pieces:
         # line ends; between two such boundaries a segment has the same ids in every text
         crossed = any(re.search("[^ ] |\n", p) for p in pieces)
         self.segments = re.compile(r"(?s).+" if crossed else r" +[^ \n]*|\n|[^ \n]+").findall
-        self.memo: dict[str, tuple] = {}
+        self.memo = _Memo(self)
+        self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.blob = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def viterbi(self, text: str, longest: int | None = None) -> list[int]:
         """Ids of the best segmentation, committed while the text streams by.
@@ -125,25 +128,53 @@ class Pieces:
             commit(n, n)
         return out
 
+    def encode_raw(self, text: str) -> bytes:
+        """The ids as 32-bit integers, one after another."""
+        return b"".join(map(self.memo.__getitem__, self.segments(" " + text))) if text else b""
+
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        memo, out = self.memo, []
-        for part in self.segments(" " + text):
-            ids = memo.get(part)
-            if ids is None:
-                ids = tuple(self.viterbi(part))
-                if len(part) <= MEMO_CHARS:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[part] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+        return np.frombuffer(self.encode_raw(text), np.int32).tolist()
 
     def decode(self, ids) -> str:
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return raw[1:].decode("utf-8", "replace")
 
+    def decode_rows(self, lists: pa.ListArray) -> pa.Array:
+        """Texts of many id lists: the bytes of all pieces are gathered at once."""
+        counts = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()], np.int64)
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths)):
+            raise ValueError("an id is not in the vocabulary")
+        n = self.lengths[ids]
+        ends = np.cumsum(n)
+        raw = self.blob[np.arange(int(n.sum())) + np.repeat(self.starts[ids] - (ends - n), n)]
+        offs = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+        full = offs[1:] > offs[:-1]
+        keep = np.ones(len(raw), bool)
+        keep[offs[:-1][full]] = False  # the space that stands before each text
+        raw, offs = raw[keep], offs - np.append(0, np.cumsum(full))
+        try:
+            raw.tobytes().decode()
+        except UnicodeDecodeError:  # ids that no text has
+            return pa.array([None if x is None else self.decode(x) for x in lists.to_pylist()], pa.string())
+        out = pa.StringArray.from_buffers(len(lists), pa.py_buffer(offs.astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes()))
+        return pc.if_else(lists.is_valid(), out, None) if lists.null_count else out
+
+
+class _Memo(dict):
+    """Ids (as bytes) of the segments met so far, MEMO short ones at most."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, part: str) -> bytes:
+        ids = np.array(self.pieces.viterbi(part), np.int32).tobytes()
+        if len(part) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.clear()
+            self[part] = ids
+        return ids
+
 
 @lru_cache(maxsize=2)
 def _pieces(names: tuple, kinds: tuple) -> Pieces:
@@ -181,9 +212,9 @@ def encode(docs: DataFrame, model_file: str, ids: str = "ids") -> DataFrame:
             _, offs = utf8(b.column(k))
             for i, j in slabs(offs, OUT_BYTES):
                 part = b.slice(i, j - i)
-                each = [p.encode(t) for t in part.column(k).to_pylist()]
-                ends = np.cumsum([0, *map(len, each)])
-                flat = np.fromiter(chain.from_iterable(each), np.int32, int(ends[-1]))
+                each = [p.encode_raw(t) for t in part.column(k).to_pylist()]
+                ends = np.cumsum([0, *(len(x) // 4 for x in each)])
+                flat = np.frombuffer(b"".join(each), np.int32)
                 yield pa.RecordBatch.from_arrays([*part.columns[:k], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                                                  names=[*b.schema.names[:k], out])
 
@@ -204,8 +235,7 @@ def decode(rows: DataFrame, model_file: str, ids: str = "ids", text: str = "deco
             step = 256
             for at in range(0, len(b), step):
                 part = b.slice(at, step)
-                got = [None if x is None else p.decode(x) for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.string())], names=[*b.schema.names, out])
+                yield pa.RecordBatch.from_arrays([*part.columns, p.decode_rows(part.column(ids))], names=[*b.schema.names, out])
 
     schema = T.StructType(list(rows.schema.fields)).add(out, T.StringType())
     return rows.mapInArrow(run, schema).drop(text).withColumnRenamed(out, text)

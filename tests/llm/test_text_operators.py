@@ -339,6 +339,17 @@ def test_streaming_viterbi_is_the_best_segmentation(vocabulary):
             assert abs(score_of(vocabulary, " " + t, ids) - want) < 1e-6
 
 
+def test_decode_rows_equals_decode(vocabulary):
+    import pyarrow as pa
+    lists = [vocabulary.encode("a b"), None, [], vocabulary.encode(" é▁"), [0, 1, 2], vocabulary.encode("x\n" * 50)]
+    want = [None if x is None else vocabulary.decode(x) for x in lists]
+    assert vocabulary.decode_rows(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == want
+    broken = [[3 + 0xC3], vocabulary.encode("ok")]  # half a character
+    assert vocabulary.decode_rows(pa.array(broken, pa.list_(pa.int32()))).to_pylist() == [vocabulary.decode(x) for x in broken]
+    with pytest.raises(ValueError):
+        vocabulary.decode_rows(pa.array([[10 ** 6]], pa.list_(pa.int32())))
+
+
 def test_encode_and_decode_rows(spark, corpus):
     docs = frame(spark, corpus, extra=True)
     coded = pieces.encode(docs, TOKENIZER)
