@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,8 @@ SLAB_CHARS = 1 << 21
 UNDECIDED = "und"
 #: Bits of a transition that hold the next state; those above count ended phrases.
 _STATE = 29
-#: A text that takes more phrases per character than this in every language is in none of them.
+#: A text that takes more phrases per character than this in every language is in none of them
+#: (``bounds`` gives languages of many letters a higher one).
 MOST_PHRASES = 0.6
 
 
@@ -62,6 +63,58 @@ def suffix_automaton(text) -> list[dict]:
     return go
 
 
+def _fold(c: str) -> str:
+    """The lower-case letter; the letter itself if its lower case is not one character."""
+    return low if len(low := c.lower()) == 1 else c
+
+
+def _packed(go: list[dict], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(table, start): the transitions as rows that share one array. A state is the place of
+    its row: entry ``state + symbol`` holds the row's state (high 32 bits) and the step (count
+    of ended phrases above _STATE, next state below); another row's entry is a miss, which
+    takes ``start[symbol]``. The start state is 0 and its row is full."""
+    rng = np.random.default_rng(5)
+    edges = [sorted((c, to) for c, to in step.items() if c > 0) for step in go]
+    known = np.zeros(width, bool)
+    known[[c for c, _ in edges[0]]] = True
+    room = 1 << int(2 * (sum(map(len, edges)) + width)).bit_length()
+    owner = np.full(room + width, -1, np.int64)
+    owner[:width] = 0
+    # a state without transitions always misses: these share the place ``room``, which no row has
+    place = np.full(len(go), room, np.int64)
+    place[0] = 0
+    taken = np.zeros(room, bool)
+    taken[0] = True
+    by_size: dict[int, list[int]] = {}
+    for s, e in enumerate(edges):
+        if s and e:
+            by_size.setdefault(len(e), []).append(s)
+    for size in sorted(by_size, reverse=True):
+        wait = np.array(by_size[size])
+        symbols = np.array([[c for c, _ in edges[s]] for s in wait], np.int64)
+        while len(wait):  # rows draw places until theirs are free; of two that clash, the first drawn stays
+            at = rng.integers(1, room, len(wait))
+            free = np.flatnonzero(~taken[at] & (owner[at[:, None] + symbols] < 0).all(axis=1))
+            free = free[np.sort(np.unique(at[free], return_index=True)[1])]
+            slots = at[free, None] + symbols[free]
+            _, first, inverse = np.unique(slots, return_index=True, return_inverse=True)
+            mine = first[inverse].reshape(slots.shape) == np.arange(slots.size).reshape(slots.shape)
+            ok = free[mine.all(axis=1)]
+            owner[at[ok, None] + symbols[ok]] = at[ok, None]
+            taken[at[ok]] = True
+            place[wait[ok]] = at[ok]
+            left = np.ones(len(wait), bool)
+            left[ok] = False
+            wait, symbols = wait[left], symbols[left]
+    step = np.zeros(room + width, np.int64)
+    step[:width] = 1 << _STATE  # a symbol that no phrase can start with is one by itself
+    own = np.array([place[s] + c for s, e in enumerate(edges) for c, _ in e], np.int64)
+    step[own] = place[[to for e in edges for _, to in e]]
+    # a miss ends the phrase and starts the next one with this symbol
+    start = np.where(known, step[:width] | (1 << _STATE), 2 << _STATE)
+    return owner << 32 | step, start
+
+
 class Parser:
     """Parses many texts against all languages at once, one numpy step per character
     position. The automata are built from the sample texts, once per worker."""
@@ -70,33 +123,19 @@ class Parser:
         self.langs = sorted(samples)
         top = sys.maxunicode + 1
         letter = np.fromiter((chr(i).isalpha() for i in range(top)), bool, top)
-        used = sorted({c for s in samples.values() for t in s for c in t.lower() if c.isalpha()})[:250]
+        used = sorted({_fold(c) for c in {c for s in samples.values() for t in s for c in t} if c.isalpha()})
         # 0: a letter outside every sample, 1: a space (anything that is no letter), 2..: letters
-        code = np.where(letter, 0, 1).astype(np.uint8)
-        for i, c in enumerate(used):
-            code[ord(c)] = i + 2
-        for i in range(top):
-            if letter[i] and code[i] == 0 and len(low := chr(i).lower()) == 1:
-                code[i] = code[ord(low)]
+        code = np.where(letter, 0, 1).astype(np.int32)
+        codes = {c: i + 2 for i, c in enumerate(used)}
+        for i in np.flatnonzero(letter).tolist():
+            code[i] = codes.get(_fold(chr(i)), 0)
         self.letter, self.code, self.width = letter, code, len(used) + 2
         self.tables = []
         for lang in self.langs:
             text = []
             for t in samples[lang]:
-                text += [int(x) for x in self.encode(t)[0]] + [-1]  # -1 stands in no document: no match crosses slices
-            go = suffix_automaton(text)
-            table = np.full((len(go), self.width), -1, np.int32)
-            for s, step in enumerate(go):
-                for c, to in step.items():
-                    if c > 0:
-                        table[s, c] = to
-            # a miss ends the phrase and starts the next one with this character; the high bits
-            # count. A character that no phrase can start with is one by itself; the start state then has none open
-            known = table[0] >= 0
-            miss = np.where(known, table[0] * self.width | (1 << _STATE), 2 << _STATE)
-            alone = ~known & (np.arange(len(table)) == 0)[:, None]
-            table = np.where(alone, 1 << _STATE, np.where(table >= 0, table * self.width, miss))
-            self.tables.append(table.astype(np.int32).ravel())
+                text += self.encode(t)[0].tolist() + [-1]  # -1 stands in no document: no match crosses slices
+            self.tables.append(_packed(suffix_automaton(text), self.width))
 
     def encode(self, text: str):
         """(symbols, has_letter); runs of non-letters become one space."""
@@ -114,17 +153,18 @@ class Parser:
         sizes = np.array([len(p) for _, p in pieces], np.int64)
         if not len(sizes) or not self.langs:
             return out
-        grid = np.zeros((sizes[0], len(pieces)), np.uint8)
+        grid = np.zeros((sizes[0], len(pieces)), np.int32)
         for k, (_, p) in enumerate(pieces):
             grid[:len(p), k] = p
         live = np.searchsorted(-sizes, -np.arange(sizes[0]) - 1, side="right")
         mask = (1 << _STATE) - 1
         total = np.zeros((len(pieces), len(self.langs)), np.int64)
-        for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(pieces), np.int32), total[:, k]
+        for k, (table, start) in enumerate(self.tables):
+            state, count = np.zeros(len(pieces), np.int64), total[:, k]
             for t in range(len(grid)):
                 n = live[t]
-                step = table[state[:n] + grid[t, :n]]
+                entry = table[state[:n] + grid[t, :n]]
+                step = np.where(entry >> 32 == state[:n], entry & 0xFFFFFFFF, start[grid[t, :n]])
                 state[:n] = step & mask
                 count[:n] += step >> _STATE
             count += state != 0
@@ -202,16 +242,38 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | No
     return rows.mapInArrow(run, kinds)
 
 
+def _own_rate(item: tuple[str, list[str]]) -> tuple[str, float]:
+    """(lang, rate): phrases per character that one half of a language's slices takes in the other half (1 if there is one)."""
+    lang, slices = item
+    slices = list(dict.fromkeys(slices))
+    p = Parser({lang: slices[::2]})
+    symbols = [p.encode(t)[0] for t in slices[1::2]]
+    return lang, int(p.phrases(symbols).sum()) / sum(map(len, symbols)) if symbols else 1.0
+
+
+def bounds(spark: SparkSession, samples: dict[str, list[str]], most: float = MOST_PHRASES) -> dict[str, float]:
+    """The languages whose own texts take so many phrases (many letters: Chinese, say) that a text
+    of theirs may be over ``most``, each with its higher bound: a quarter over its own rate, at
+    most half way from it to 1, the rate of a text without any known letter."""
+    if not samples:
+        return {}
+    own = spark.sparkContext.parallelize(sorted(samples.items()), len(samples)).map(_own_rate).collect()
+    high = {lang: min(1.25 * r, (1 + r) / 2) for lang, r in own if r < 1}
+    return {lang: x for lang, x in high.items() if x > most}
+
+
 def identified(docs: DataFrame, samples: dict[str, list[str]] | None = None, most: float = MOST_PHRASES) -> DataFrame:
     """The rows of ``docs`` (its own columns) whose language is found: their text has a letter,
-    and the winner needs at most ``most`` phrases per character. Nothing learned: no row goes
-    but those without a letter."""
+    and the winner needs at most ``most`` phrases per character (or its higher bound, see
+    ``bounds``). Nothing learned: no row goes but those without a letter."""
     samples = learn(docs) if samples is None else samples
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
     out = predict(rows, samples or {"any": []}, names)
     if samples:
-        out = out.filter(F.col("rate") <= most)
+        own = [F.lit(x) for pair in sorted(bounds(docs.sparkSession, samples, most).items()) for x in pair]
+        high = F.coalesce(F.create_map(*own)[F.col("lang_pred")], F.lit(most)) if own else F.lit(most)
+        out = out.filter(F.col("rate") <= high)
     return out.filter(F.col("lang_pred") != UNDECIDED).select(*names).toDF(*docs.columns)
 
 

@@ -250,6 +250,43 @@ def test_language_odd_rows(spark):
     assert {r["doc_id"] for r in kept.collect()} == {1, 2, None, 7}
 
 
+def script_texts(rng, letters, n, spaced, size=2):
+    """Texts of Zipf-like words over the given letters."""
+    lexicon = ["".join(rng.choices(letters, k=rng.randint(1, size))) for _ in range(1200)]
+    weight = [1 / (k + 2) for k in range(len(lexicon))]
+    return [(" " if spaced else "").join(rng.choices(lexicon, weight, k=160)) + "\u3002" for _ in range(n)]
+
+
+def wide_scripts():
+    rng = random.Random(11)
+    han, kana, hangul = ([chr(i) for i in range(a, b)] for a, b in ((0x4E00, 0x5800), (0x3041, 0x30FA), (0xAC00, 0xB400)))
+    kana = [c for c in kana if c.isalpha()]
+    texts = {"zh": script_texts(rng, han, 60, False), "ja": script_texts(rng, kana * 9 + han[1500:2000], 60, False, 3),
+             "ko": script_texts(rng, hangul, 60, True, 3), "en": [words(rng, 80) for _ in range(60)],
+             "ru": script_texts(rng, [chr(i) for i in range(0x430, 0x450)], 60, True, 7)}
+    return [(k * 100 + i, t, lang) for k, (lang, own) in enumerate(texts.items()) for i, t in enumerate(own)]
+
+
+def test_language_letters_beyond_the_first_250(spark):
+    rows = wide_scripts()
+    samples = {lang: [t for i, t, x in rows if x == lang and i % 5] for lang in ("zh", "ja", "ko", "en", "ru")}
+    p = langid.Parser(samples)
+    letters = {c for s in samples.values() for t in s for c in t if c.isalpha()}
+    assert len(letters) > 2500 and len({int(p.code[ord(c)]) for c in letters}) == len(letters) and all(p.code[ord(c)] > 1 for c in letters)
+    short = {"zh": ["\u4e2d\u6587\u5b57\u6bcd"] + samples["zh"][:5], "ko": samples["ko"][:5]}
+    assert langid.Parser(short).phrases([langid.Parser(short).encode("\u4e2d\u6587\u5b57\u6bcd")[0]])[0][1] == 1
+    odd = [(9001, "".join(chr(0x1200 + i) for i in range(0, 60)), "am")]  # letters that no sample has
+    docs = frame(spark, [(i, t, x) for i, t, x in rows] + [(i, t, None) for i, t, _ in odd])
+    learned = langid.learn(docs)
+    want = {i: x for i, _, x in rows}
+    got = {r["doc_id"]: r for r in langid.identify(docs, learned).collect()}
+    held = [i for i in want if got[i]["held_out"]]
+    assert len(held) > 30 and all(got[i]["lang_pred"] == want[i] for i in held)
+    # texts of many letters are over MOST_PHRASES though clean; they stay, and what no sample has goes
+    assert langid.bounds(spark, learned)["zh"] > langid.MOST_PHRASES
+    assert {r["doc_id"] for r in langid.identified(docs, learned).collect()} == set(want)
+
+
 # ---------------------------------------------------------------- toxicity
 
 def test_toxicity_learns_words_and_scores_every_row(spark):
