@@ -4,7 +4,9 @@ Numbers, units and names become typed placeholders. Windows of template tokens a
 hash-joined against the benchmark's; a hit then needs the same template, token by
 token, and consistent slots: two slots hold the same value in the text exactly
 where they do in the benchmark item. So a question with other numbers and names
-is found, and a text that only shares the frame is not."""
+is found, and a text that only shares the frame is not. Windows with too few plain words
+for that, and items shorter than a window, are also sought word for word, values included.
+Scripts without spaces are cut into characters, each a token."""
 
 from __future__ import annotations
 
@@ -13,10 +15,12 @@ from pyspark.sql import functions as F
 
 from .common import keyed, stored
 
-#: Template tokens per window; an item with fewer, but LEAST_ITEM or more, is one window.
+#: Template tokens per window; an item with fewer is one window.
 WINDOW, LEAST_ITEM = 10, 5
-#: A window needs so many tokens that are no placeholder.
+#: A window whose values may differ needs so many tokens that are no placeholder, and an item LEAST_ITEM tokens.
 LEAST_LITERALS = 5
+#: Kinds of windows: equal templates and slot patterns, or equal words.
+BY_TEMPLATE, BY_WORDS = 0, 1
 #: Benchmark windows up to this many (8-byte hashes) are broadcast; more are joined by a shuffle.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -28,12 +32,14 @@ UNITS = ["%", "percent", "kilometers?", "kilometres?", "km", "kmh", "mph", "mete
          "kw", "kwh", "volts?", "hz", "khz", "mhz", "ghz", "kb", "mb", "gb", "tb"]
 NUMBER, UNIT, NAME = "\x02", "\x03", "\x04"
 _MARKS = f"{NUMBER}{UNIT}{NAME}"
+#: Letters of scripts that put no space between words.
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]\p{M}*"
 
 
 def marked(text: Column) -> Column:
     """Lower-case words separated by spaces, punctuation dropped; a mark stands before the
     value of each number, unit (after a number) and name (a capitalised word inside a sentence)."""
-    x = F.translate(text, _MARKS, "   ")
+    x = F.regexp_replace(F.translate(text, _MARKS, "   "), f"({_UNSPACED})", " $1 ")
     x = F.regexp_replace(x, r"(?<=[\p{Ll}\p{N}][,;:]? )(\p{Lu}[\p{L}\p{M}]*)", NAME + "$1")
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     x = F.regexp_replace(x, rf"(?i)(?<![\p{{L}}\p{{N}}])(\d+(?:[.,]\d+)*)(?:[ -]?({units}))?(?![\p{{L}}\p{{N}}])", f" {NUMBER}$1 {UNIT}$2 ")
@@ -60,52 +66,65 @@ def _pattern(window: str) -> Column:
     return F.expr(f"transform({slots}, t -> array_position({slots}, t))")
 
 
+def _bare(words: Column) -> Column:
+    """The tokens of a marked text without the marks: what the text says, wherever it stands."""
+    return _tokens(F.translate(words, _MARKS, ""))
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(size, hash, frame, pattern, item_id): every template window of every item, one row
-    per different (frame, pattern), with its smallest item. Items of fewer than LEAST_ITEM
-    tokens and windows of fewer than LEAST_LITERALS plain words give none."""
+    """(kind, size, hash, frame, pattern, item_id): the windows of every item, one row per
+    different (kind, frame, pattern), with its smallest item. Template windows of fewer than
+    LEAST_LITERALS plain words or of items of fewer than LEAST_ITEM tokens are windows of words
+    instead; an item shorter than a window is both, as its only window may begin with a name
+    in the text but not in the item. Only items without a token have none."""
     items = (benchmark.filter("text is not null")
              .select(F.col("item_id").cast("long").alias("item_id"), marked(F.col("text").cast("string")).alias("words")))
-    items = (items.select("item_id", _tokens(F.col("words")).alias("raw"), _tokens(template(F.col("words"))).alias("tpl"))
-             .filter(F.size("tpl") >= LEAST_ITEM)
+    items = (items.select("item_id", _tokens(F.col("words")).alias("raw"), _tokens(template(F.col("words"))).alias("tpl"), _bare(F.col("words")).alias("bare"))
+             .filter(F.size("tpl") >= 1)
              .withColumn("size", F.least(F.size("tpl"), F.lit(window))))
-    each = items.select("item_id", "size", "raw", "tpl", F.explode(F.expr("sequence(1, size(tpl) - size + 1)")).alias("at"))
-    each = each.select("item_id", "size", F.expr("slice(tpl, at, size)").alias("t"), F.expr("slice(raw, at, size)").alias("r"))
+    each = items.select("item_id", "size", "raw", "tpl", "bare", F.explode(F.expr("sequence(1, size(tpl) - size + 1)")).alias("at"))
+    each = each.select("item_id", "size", *(F.expr(f"slice({of}, at, size)").alias(to) for of, to in (("tpl", "t"), ("raw", "r"), ("bare", "w"))))
     plain = F.size(F.filter("t", lambda t: ~t.isin(NUMBER, UNIT, NAME)))
-    return (each.filter(plain >= LEAST_LITERALS)
-            .select("item_id", "size", F.xxhash64("t").alias("hash"), F.concat_ws(" ", "t").alias("frame"), _pattern("r").alias("pattern"))
-            .groupBy("size", "hash", "frame", "pattern").agg(F.min("item_id").alias("item_id")))
+    by_template = (plain >= LEAST_LITERALS) & (F.col("size") >= min(LEAST_ITEM, window))
+    some = (each.filter(by_template)
+            .select(F.lit(BY_TEMPLATE).alias("kind"), "item_id", "size", F.xxhash64("t").alias("hash"), F.concat_ws(" ", "t").alias("frame"), _pattern("r").alias("pattern")))
+    rest = (each.filter(~by_template | (F.col("size") < window))
+            .select(F.lit(BY_WORDS).alias("kind"), "item_id", "size", F.xxhash64("w").alias("hash"), F.concat_ws(" ", "w").alias("frame"), _pattern("cast(array() as array<string>)").alias("pattern")))
+    return some.union(rest).groupBy("kind", "size", "hash", "frame", "pattern").agg(F.min("item_id").alias("item_id"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text_key, at, size, item_id): windows of the texts (token position from 1)
-    whose template and slot pattern are those of a benchmark window."""
+    whose template and slot pattern, or whose words, are those of a benchmark window."""
     bench = stored(benchmark_windows(benchmark, window), "bench-windows")
-    sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # at most ``window`` numbers
+    sizes = sorted((r["size"], r["kind"]) for r in bench.select("size", "kind").distinct().collect())  # at most 2 * ``window`` pairs
     rows = keyed(docs)
     if not sizes:
         return rows.limit(0).selectExpr("doc_id", "text_key", "1 as at", "1 as size", "cast(null as bigint) as item_id")
-    hashes = bench.select("size", "hash").distinct()
+    hashes = bench.select("kind", "size", "hash").distinct()
     if hashes.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
-    tpl = rows.select("doc_id", "text_key", _tokens(template(marked(F.col("text")))).alias("tpl"))
+    words = rows.select("doc_id", "text_key", marked(F.col("text")).alias("words"))
+    tokens = {BY_TEMPLATE: words.select("doc_id", "text_key", _tokens(template(F.col("words"))).alias("tokens")),
+              BY_WORDS: words.select("doc_id", "text_key", _bare(F.col("words")).alias("tokens"))}
     found = None
-    for size in sizes:  # one in general: the items shorter than a window add theirs
-        some = (tpl.select("doc_id", "text_key", F.posexplode(_windows("tpl", size)).alias("at", "hash"))
-                .select("doc_id", "text_key", (F.col("at") + 1).alias("at"), F.lit(size).alias("size"), "hash")
-                .join(hashes, ["size", "hash"]).select("doc_id", "text_key", "at", "size"))
+    for size, kind in sizes:  # two in general: the items shorter than a window add theirs
+        some = (tokens[kind].select("doc_id", "text_key", F.posexplode(_windows("tokens", size)).alias("at", "hash"))
+                .select("doc_id", "text_key", (F.col("at") + 1).alias("at"), F.lit(size).alias("size"), F.lit(kind).alias("kind"), "hash")
+                .join(hashes, ["kind", "size", "hash"]).select("doc_id", "text_key", "at", "size", "kind"))
         found = some if found is None else found.union(some)
-    per_row = found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "size")).alias("hits"))
+    per_row = found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "size", "kind")).alias("hits"))
     again = (rows.alias("d").join(per_row.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key")))
              .select("d.doc_id", "d.text_key", "f.hits", marked(F.col("d.text")).alias("words")))
     # the row once: rows that repeat an id and a text have the same windows
     again = again.dropDuplicates(["doc_id", "text_key"])
-    again = again.select("doc_id", "text_key", "hits", _tokens(F.col("words")).alias("raw"), _tokens(template(F.col("words"))).alias("tpl"))
+    again = again.select("doc_id", "text_key", "hits", _tokens(F.col("words")).alias("raw"), _tokens(template(F.col("words"))).alias("tpl"), _bare(F.col("words")).alias("bare"))
     shown = again.select("doc_id", "text_key", F.explode(F.expr(
-        "transform(hits, h -> struct(h.at as at, h.size as size, slice(raw, h.at, h.size) as r, slice(tpl, h.at, h.size) as t))")).alias("w"))
-    shown = shown.select("doc_id", "text_key", "w.at", "w.size", F.concat_ws(" ", "w.t").alias("frame"), _pattern("w.r").alias("pattern"))
-    return (shown.join(bench.select("size", "frame", "pattern", "item_id"), ["size", "frame", "pattern"])
-            .select("doc_id", "text_key", "at", "size", "item_id"))
+        f"transform(hits, h -> struct(h.at as at, h.size as size, h.kind as kind, if(h.kind = {BY_WORDS}, cast(array() as array<string>), slice(raw, h.at, h.size)) as r, "
+        f"slice(if(h.kind = {BY_WORDS}, bare, tpl), h.at, h.size) as t))")).alias("w"))
+    shown = shown.select("doc_id", "text_key", "w.at", "w.size", "w.kind", F.concat_ws(" ", "w.t").alias("frame"), _pattern("w.r").alias("pattern"))
+    return (shown.join(bench.select("kind", "size", "frame", "pattern", "item_id"), ["kind", "size", "frame", "pattern"])
+            .groupBy("doc_id", "text_key", "at", "size").agg(F.min("item_id").alias("item_id")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -91,6 +91,22 @@ def test_reparameterised_items_are_found_and_inconsistent_slots_are_not(spark):
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_items_of_few_plain_words_and_of_unspaced_scripts_are_found_verbatim(spark):
+    """Numbers, units, names, short items and scripts without spaces: a copy is a hit, other values are not."""
+    items = {1: "Solve 12 + 7 * 3 - 4 / 2 + 9 - 15 * 8 / 6 + 31", 2: "2, 3, 5, 8, 13, 21, 34, 55", 3: "Compute sin 45 degrees",
+             4: "\u5c0f\u660e\u6709\u5341\u4e8c\u4e2a\u82f9\u679c\u4ed6\u5403\u4e86\u4e09\u4e2a\u8fd8\u5269\u591a\u5c11\u4e2a", 5: "\u0e41\u0e21\u0e27\u0e01\u0e34\u0e19\u0e1b\u0e25\u0e32\u0e01\u0e35\u0e48\u0e15\u0e31\u0e27\u0e43\u0e19\u0e27\u0e31\u0e19\u0e19\u0e35\u0e49",
+             6: "Berlin Paris London Rome Madrid Vienna Lisbon Oslo Athens Dublin Prague", 7: "Name all primes below ninety"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    texts = {i * 10: f"we saw, in the exam: {t} and so on" for i, t in items.items()} | {i * 10 + 1: t for i, t in items.items()}
+    clean = {900: "Solve 13 + 7 * 3 - 4 / 2 + 9 - 16 * 8 / 6 + 32", 901: "2, 3, 5, 7, 11, 13, 17, 19", 902: "Compute sin 46 degrees",
+             903: "\u5c0f\u660e\u6709\u4e5d\u4e2a\u68a8\u5b50\u4ed6\u9001\u4e86\u4e09\u4e2a\u7ed9\u670b\u53cb", 904: "Berlin Paris London Rome and the sea", 905: "name all the primes"}
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in (texts | clean).items()], SCHEMA).repartition(3)
+    got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert {i: got[i]["item_id"] for i in texts} == {i: i // 10 for i in texts}
+    assert not [i for i in clean if got[i]["contaminated"]]
+    assert got[71]["n_windows"] == 1  # by template and by words: one window
+
+
 def test_decontamination_plan_has_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
