@@ -12,15 +12,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, sample_by_hash
+from .common import crc_mod, stored
 
-#: Bound of the labelled sample: so many slices of so many characters per language,
-#: and at most so many languages (the most frequent).
-SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGS = 128, 400, 64
+#: Bound of the labelled sample: so many slices of so many characters per language.
+SAMPLE_DOCS, SAMPLE_CHARS = 128, 400
+#: Languages whose automata one worker holds at a time; more are parsed in further passes over the texts.
+LANGS_A_PASS = 64
 #: A text is parsed in pieces of so many characters (all of it; a phrase ends at a piece's end).
 PIECE = 1024
 #: Characters parsed together.
@@ -178,17 +179,19 @@ def _parser(samples: str) -> Parser:
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """Labelled slices per language: ``sample_docs`` rows of each (smallest hash), a
+    """Labelled slices of every language: ``sample_docs`` rows of each (smallest hash), a
     middle slice of ``sample_chars`` characters of each. Rows with crc32(doc_id) mod 5
     of 0, or with a null id, text or lang, teach nothing; nor do texts without letters."""
     rows = (docs.filter("doc_id is not null and text is not null and lang is not null")
             .filter(crc_mod(F.col("doc_id"), 5) != 0)
             .select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.col("lang").cast("string").alias("lang")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    if not counts:
-        return {}
-    few = sample_by_hash(rows, sample_docs, "lang", counts)
+    # the bound of sample_by_hash, joined: there may be many languages
+    share = F.least(F.lit(1.0), F.lit(4.0 * sample_docs + 64) / F.count("*"))
+    shares = rows.groupBy("lang").agg((share * (1 << 30)).cast("long").alias("sample_bound"))
+    few = rows.withColumn("sample_hash", F.xxhash64(F.lit(7), "doc_id", "text_key")).join(F.broadcast(shares), "lang")
+    few = few.filter(F.pmod("sample_hash", F.lit(1 << 30)) < F.col("sample_bound"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("sample_hash", "doc_id"))
+    few = few.withColumn("sample_rank", rank).filter(F.col("sample_rank") <= sample_docs)
     start = F.greatest(F.lit(1), F.floor(F.length("text") / 2) - sample_chars // 2).cast("int")
     got = few.select("lang", "doc_id", F.substring("text", start, F.lit(sample_chars)).alias("part")).collect()
     out: dict[str, list[str]] = {}
@@ -206,14 +209,36 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | No
     score: 1 - best rate / second best rate (1 - rate for one language, 0 for und).
     rate: phrases per character of the winner."""
     keep = keep or ["doc_id"]
-    fixed = json.dumps(samples, sort_keys=True)
+    langs = sorted(samples)
     rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("parsed_text"))
-
+    kinds = rows.schema.fields[:len(keep)]
+    starts = range(0, max(1, len(langs)), LANGS_A_PASS)
+    for a in starts:
+        last = a == starts[-1]
+        some = json.dumps({x: samples[x] for x in langs[a:a + LANGS_A_PASS]}, sort_keys=True)
+        kind = T.StructType(kinds if last else [*kinds, T.StructField("parsed_text", T.StringType())])
+        for name, of in (("lang_pred", T.StringType()), ("best", T.LongType()), ("second", T.LongType()), ("symbols", T.LongType())):
+            kind = kind.add(name, of)
+        rows = rows.mapInArrow(_pass(some, len(keep), a > 0, last), kind)
+        if not last:
+            rows = stored(rows, "languages")
+    best, second = F.col("best") / F.col("symbols"), F.coalesce(F.col("second") / F.col("symbols"), F.lit(1.0))
+    found = F.col("lang_pred") != UNDECIDED
+    return rows.select(*[F.col(c) for c in keep], "lang_pred",
+                       F.when(found, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - best / second))).otherwise(0.0).alias("score"),
+                       F.when(found, best).otherwise(1.0).alias("rate"))
+
+
+def _pass(samples: str, n_keep: int, later: bool, last: bool):
+    """Parses the texts (column ``n_keep``) against some languages. Adds lang_pred, best and
+    second (phrases of the two best languages so far) and symbols; a later pass gets those of
+    the passes before. The last leaves out the text."""
     def run(batches):
-        p = _parser(fixed)
+        p = _parser(samples)
         for b in batches:
-            texts = b.column(len(keep)).to_pylist()
-            pred, score, rate, i = [], [], [], 0
+            texts = b.column(n_keep).to_pylist()
+            before = zip(*(b.column(n_keep + k).to_pylist() for k in (1, 2, 3))) if later else ((UNDECIDED, None, None) for _ in texts)
+            out, i = [], 0
             while i < len(texts):
                 symbols, letters, size = [], [], 0
                 while i < len(texts) and (not symbols or size < SLAB_CHARS):
@@ -222,24 +247,24 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | No
                     letters.append(has)
                     size += len(s)
                     i += 1
-                n = p.phrases(symbols)
-                for s, has, row in zip(symbols, letters, n):
-                    if not has or not p.langs:
-                        pred.append(UNDECIDED)
-                        score.append(0.0)
-                        rate.append(1.0)
-                        continue
-                    k = int(row.argmin())
-                    best = row[k] / len(s)
-                    second = np.delete(row, k).min() / len(s) if len(row) > 1 else 1.0
-                    pred.append(p.langs[k])
-                    score.append(max(0.0, min(1.0, 1.0 - best / second)))
-                    rate.append(best)
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
-                                             names=[*b.schema.names[:len(keep)], "lang_pred", "score", "rate"])
-
-    kinds = T.StructType(rows.schema.fields[:-1]).add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("rate", T.DoubleType())
-    return rows.mapInArrow(run, kinds)
+                for s, has, row in zip(symbols, letters, p.phrases(symbols)):
+                    pred, best, second = next(before)
+                    if has and p.langs:
+                        k = int(row.argmin())
+                        if best is None or row[k] < best:  # languages come in order: the first by name wins a tie
+                            pred, first = p.langs[k], int(row[k])
+                            others = [best] if best is not None else []
+                        else:
+                            first, others = best, [int(row[k])]
+                        others += [] if second is None else [second]
+                        others += [int(np.delete(row, k).min())] if len(row) > 1 else []
+                        best, second = first, min(others, default=None)
+                    out.append((pred, best, second, len(s)))
+            cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.int64()))] if out else [pa.array([], t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int64())]
+            names = b.schema.names[:n_keep] + ([] if last else ["parsed_text"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], *cols], names=[*names, "lang_pred", "best", "second", "symbols"])
+
+    return run
 
 
 def _own_rate(item: tuple[str, list[str]]) -> tuple[str, float]:

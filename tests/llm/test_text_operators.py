@@ -287,6 +287,22 @@ def test_language_letters_beyond_the_first_250(spark):
     assert {r["doc_id"] for r in langid.identified(docs, learned).collect()} == set(want)
 
 
+def test_language_learns_every_label(spark, monkeypatch):
+    """More labels than one pass holds: each can be given, with the same results as in one pass."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(70):
+        lexicon = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(40)]
+        rows += [(k * 20 + i, " ".join(rng.choices(lexicon, k=30)), f"l{k:02}") for i in range(12 if k else 6)]
+    docs = frame(spark, rows)
+    samples = langid.learn(docs)
+    assert len(samples) == 70
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, samples).collect()}
+    assert sum(got[i][0] == x for i, _, x in rows) >= 0.99 * len(rows)
+    monkeypatch.setattr(langid, "LANGS_A_PASS", 100)
+    assert got == {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, samples).collect()}
+
+
 # ---------------------------------------------------------------- toxicity
 
 def test_toxicity_learns_words_and_scores_every_row(spark):
