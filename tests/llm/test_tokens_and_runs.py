@@ -64,7 +64,7 @@ def test_cut_reaches_no_merge():
         t = "".join(rng.choice(names) for _ in range(rng.randint(1, 40))).replace("▁", rng.choice([" ", "", "▁"]))
         if t:
             cut = p.split(t)
-            assert "".join(cut) == "▁" + t.replace(" ", "▁")
+            assert "".join(cut) == " " + t.replace("▁", " ")
             assert sum(p.counts(cut)) == len(p.model.encode(t))
 
 
@@ -132,9 +132,9 @@ def brute_alignment(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [1 << 16, 12, 0])
+@pytest.mark.parametrize("hot", [1 << 18, 12, 0])
 def test_alignment_is_that_of_whole_texts(spark, corpus, monkeypatch, hot):
-    monkeypatch.setattr(parts, "HOT", hot)
+    monkeypatch.setattr(alignment, "HOT_PAIRS", hot)  # 12: most pairs are joined; 0: all are
     got = alignment.alignments(frame(spark, corpus), BYTE_TOKENIZER, TOKENIZER).drop("n_bytes").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_alignment(corpus)
 
@@ -145,14 +145,27 @@ def test_alignment_of_an_empty_table(spark):
 
 def test_groups_are_written_out(spark):
     got = alignment.groups_of(spark.createDataFrame([(1, "Hello, wörld"), (2, None), (3, "a▁b")], SCHEMA), BYTE_TOKENIZER, TOKENIZER).collect()
-    ids_a, ids_b, groups, _ = alignment.pair(BYTE_TOKENIZER, TOKENIZER).chunk(" Hello,")
-    assert [r.groups for r in sorted(got)][0].startswith(alignment.written(ids_a, ids_b, groups))
-    assert [r.groups for r in sorted(got)][1:] == ["", ""]
+    p = alignment.pair(BYTE_TOKENIZER, TOKENIZER)
+    assert [r.groups for r in sorted(got)] == [";".join(p.records([x])[0][3] for x in (" Hello,", " wörld")), "", ""]
 
 
 def test_align_cuts_at_common_ends():
     assert alignment.align([2, 5, 9], [1, 2, 6, 9]) == [(1, 2), (3, 4)]
-    assert alignment.links([2, 5, 9], [1, 2, 6, 9], [(1, 2), (3, 4)]) == [(0, 0), (0, 1), (1, 2), (2, 2), (2, 3)]
+    _, i, j = alignment.links(np.array([2, 5, 9]), np.array([1, 2, 6, 9]))
+    assert list(zip(i.tolist(), j.tolist())) == [(0, 0), (0, 1), (1, 2), (2, 2), (2, 3)]
+
+
+def test_segments_and_joint_chunks_give_the_same(corpus, monkeypatch):
+    p = alignment.pair(BYTE_TOKENIZER, TOKENIZER)
+    texts = [t or "" for _, t in corpus]
+    whole = alignment._documents(p, texts)
+    for segment, together, memo in ((1, 256, 10), (50, 1, 0), (1 << 20, 3, 1000)):
+        monkeypatch.setattr(alignment, "SEGMENT", segment)
+        monkeypatch.setattr(alignment, "TOGETHER", together)
+        monkeypatch.setattr(alignment, "MEMO", memo)
+        p.young.clear()
+        p.old.clear()
+        assert alignment._documents(p, texts) == whole
 
 
 def test_op11_query(spark):
