@@ -15,15 +15,13 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import keyed, slabs, stored, utf8
+from .common import slabs, stored, texts_of, utf8
 
-#: Entries of the broadcast dictionary, and the longest part in it (bytes): 16 MB of text at most.
-HOT, HOT_BYTES = 1 << 16, 256
+#: Entries of the broadcast dictionary, and the longest part in it (bytes): 32 MB of text at most.
+HOT, HOT_BYTES = 1 << 17, 256
 #: Distinct parts that a task counts before it hands its counts on.
-FLUSH = 400_000
+FLUSH = 1_000_000
 #: Bytes of text between two output batches.
 OUT_BYTES = 1 << 21
 
@@ -72,64 +70,44 @@ def hot_parts(lexicon: DataFrame, values: list[str]) -> dict[str, tuple]:
     return {r["part"]: tuple(r)[1:] for r in rows}
 
 
-def document_parts(docs: DataFrame, split, hot: dict[str, tuple], fields: list[str], name: str,
-                   also: Callable | None = None, also_schema: str = "") -> DataFrame:
-    """One stored row per row of ``docs``: doc_id, text_key, n_bytes, the sums of the
-    ``fields`` over the hot parts (the first entries of a dictionary value), and ``rest``,
-    the other parts with their frequencies. ``also()`` may give a function
-    (text, parts, dictionary) -> further column values (``also_schema``)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(hot)
-    k = len(fields)
-    schema = T._parse_datatype_string(
-        "doc_id long, text_key long, n_bytes long, " + "".join(f"{f} long, " for f in fields)
-        + "rest array<struct<part: string, k: long>>" + (", " + also_schema if also_schema else ""))
-    names = schema.fieldNames()
-    types = [to_arrow_type(f.dataType) for f in schema.fields]
-    width = len(names) - 4 - k
+def document_parts(docs: DataFrame, split, hot: dict[str, tuple], name: str) -> DataFrame:
+    """One stored row per row of ``docs``: row (a number given when it is written), doc_id,
+    n_bytes, ``total`` (the first dictionary value summed over the hot parts) and ``rest``, the
+    other parts with their frequencies."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         parts_of, known = split(), shared.value
-        more = also() if also else None
         for b in batches:
-            buf, offs = utf8(b.column(2))
+            _, offs = utf8(b.column(1))
             for i, j in slabs(offs, OUT_BYTES):
                 part = b.slice(i, j - i)
-                sums, rest, extra = [[] for _ in range(k)], [], [[] for _ in range(width)]
-                for t in part.column(2).to_pylist():
-                    parts = parts_of(t) if t else []
-                    total, left = [0] * k, []
-                    for p, c in Counter(parts).items():
+                totals, rest, times, ends = [], [], [], [0]
+                for t in part.column(1).to_pylist():
+                    total = 0
+                    for p, c in Counter(parts_of(t) if t else ()).items():
                         v = known.get(p)
                         if v is None:
-                            left.append({"part": p, "k": c})
+                            rest.append(p)
+                            times.append(c)
                         else:
-                            for x in range(k):
-                                total[x] += v[x] * c
-                    for x in range(k):
-                        sums[x].append(total[x])
-                    rest.append(left)
-                    if more:
-                        for column, value in zip(extra, more(t, parts, known)):
-                            column.append(value)
-                lengths = pa.array((offs[i + 1:j + 1] - offs[i:j]).tolist(), pa.int64())
-                made = [pa.array(c, t) for c, t in zip([*sums, rest, *extra], types[3:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lengths, *made], names=names)
-
-    return stored(keyed(docs).mapInArrow(run, schema), name)
-
-
-def document_sums(rows: DataFrame, lexicon: DataFrame, fields: list[str], keep: list[str]) -> DataFrame:
-    """(doc_id, n_bytes, ``keep``, ``fields``): one row for each row given to
-    ``document_parts``, with its hot sums and those of its other parts from ``lexicon``.
-    Rows that repeat id and text are summed together, divided, and dealt out again."""
-    rest = (rows.select("doc_id", "text_key", F.explode("rest").alias("r"))
-            .select("doc_id", "text_key", F.col("r.part").alias("part"), F.col("r.k").alias("k"))
-            .join(lexicon.select("part", *fields), "part")
-            .select("doc_id", "text_key", F.lit(None).cast("long").alias("n_bytes"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in keep],
-                    *[(F.col(f) * F.col("k")).alias(f) for f in fields], F.lit(0).alias("copies")))
-    own = rows.select("doc_id", "text_key", "n_bytes", *keep, *fields, F.lit(1).alias("copies"))
-    summed = own.unionByName(rest).groupBy("doc_id", "text_key").agg(
-        F.sum("copies").alias("copies"), *[F.max(c).alias(c) for c in ("n_bytes", *keep)], *[F.sum(f).alias(f) for f in fields])
-    each = summed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return each.select("doc_id", "n_bytes", *keep, *[F.expr(f"{f} div copies").alias(f) for f in fields])
+                            total += v[0] * c
+                    totals.append(total)
+                    ends.append(len(rest))
+                left = pa.StructArray.from_arrays([pa.array(rest, pa.string()), pa.array(times, pa.int32())], ["part", "k"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(offs[i + 1:j + 1] - offs[i:j]), pa.array(totals, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), left)], names=["doc_id", "n_bytes", "total", "rest"])
+
+    made = texts_of(docs).mapInArrow(run, "doc_id long, n_bytes long, total long, rest array<struct<part: string, k: int>>")
+    return stored(made.withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def document_sums(rows: DataFrame, lexicon: DataFrame, value: str) -> DataFrame:
+    """(doc_id, n_bytes, ``value``) for each row of ``document_parts``: its total, and the
+    ``value`` of each of its other parts from ``lexicon`` times its frequency."""
+    rest = (rows.select("row", F.explode("rest").alias("r")).select("row", F.col("r.part").alias("part"), F.col("r.k").alias("k"))
+            .join(lexicon.select("part", value), "part").select("row", (F.col(value) * F.col("k")).alias(value)))
+    sums = rest.groupBy("row").agg(F.sum(value).alias(value))
+    return rows.select("row", "doc_id", "n_bytes", "total").join(sums, "row", "left").select(
+        "doc_id", "n_bytes", (F.col("total") + F.coalesce(value, F.lit(0))).alias(value))

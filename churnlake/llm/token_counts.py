@@ -31,16 +31,17 @@ class PreTokens:
             raise ValueError("the model changes texts before it cuts them; counts by pre-token need one that does not")
         names = [m.id_to_piece(i) for i in range(m.get_piece_size())
                  if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i))]
-        self.pairs = {a + b for p in names for a, b in zip(p, p[1:])}
+        self.pairs = {a + b for p in names for a, b in zip(p.replace("▁", " "), p.replace("▁", " ")[1:])}
         if any(GUARD in p for p in names):
             raise ValueError("the guard character is in the vocabulary")
         self.guard = len(m.encode(GUARD))
         crossed = any(re.search("[^▁]▁|.\n|\n.", p) for p in names)
-        self.cut = re.compile("(?s).+" if crossed else "▁+[^▁\n]*|\n|[^▁\n]+").findall
+        self.cut = re.compile("(?s).+" if crossed else " +[^ \n]*|\n|[^ \n]+").findall
 
     def split(self, text: str) -> list[str]:
-        """Pre-tokens of the text with the space mark before it and for its spaces; joined they give it back."""
-        parts = self.cut("▁" + text.replace(" ", "▁"))
+        """Pre-tokens of a space and the text, which they give back when joined. The model takes
+        U+2581 for a space, so do they."""
+        parts = self.cut(" " + text.replace("▁", " "))
         if max(map(len, parts)) <= LONG:
             return parts
         out = []
@@ -57,8 +58,8 @@ class PreTokens:
         return out
 
     def counts(self, parts: list[str]) -> list[int]:
-        """Pieces of each pre-token. The model puts one space mark before what it is given."""
-        given = [p[1:] if p[0] == "▁" and len(p) > 1 else GUARD + p for p in parts]
+        """Pieces of each pre-token. The model puts one space before what it is given."""
+        given = [p[1:] if p[0] == " " and len(p) > 1 else GUARD + p for p in parts]
         out = []
         for p, g, ids in zip(parts, given, self.model.encode(given, num_threads=1) if given else []):
             out.append(len(ids) - self.guard if g[0] == GUARD and len(g) == len(p) + 1 else len(ids))
@@ -87,5 +88,5 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
                                              names=["part", "n", "n_tokens"])
 
     lexicon = stored(part_counts(docs, split).mapInArrow(count, "part string, n long, n_tokens long"), "pretokens")
-    rows = document_parts(docs, split, hot_parts(lexicon, ["n_tokens"]), ["n_tokens"], "pretoken-rows")
-    return document_sums(rows, lexicon, ["n_tokens"], [])
+    rows = document_parts(docs, split, hot_parts(lexicon, ["n_tokens"]), "pretoken-rows")
+    return document_sums(rows, lexicon, "n_tokens")
