@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,20 +62,57 @@ def value_counts(ref: DataFrame, cur: DataFrame, features: Sequence[str],
 
 
 def ks_test(counts: DataFrame, batch_cols: Sequence[str] = (), terms: int = 100) -> DataFrame:
-    """H3 + H4: two-sample KS statistic (sup of the ECDF distance) and the
-    asymptotic Kolmogorov p-value Q(D * sqrt(n m / (n + m))) (series of
-    ``terms`` terms; scipy switches to an exact method below 10k rows)."""
+    """H3 + H4: two-sample KS statistic (sup of the ECDF distance) and its
+    p-value (``ks_pvalue``)."""
     g = [*batch_cols, "feature"]
     cum = prefix_sums(counts, "value", ["n_ref", "n_cur"], g)
     tot = counts.groupBy(*g).agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     d = (cum.join(tot, g).groupBy(*g)
             .agg(F.max(F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur")))
                  .alias("ks_statistic"), F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur")))
-    z = F.col("ks_statistic") * F.sqrt(F.col("n_ref").cast("double") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
+    return d.withColumn("ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), terms))
+
+
+#: Sides of up to this many rows get the exact p-value.
+EXACT_ROWS = 10_000
+#: Beyond this scaled distance the p-value is under 1e-13, the rounding of the exact sum: the series serves.
+FAR = 4.0
+
+
+def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
+    """H4: p-value of the two-sample distance ``d`` of sides with ``n`` and ``m`` rows: exact when
+    both have at most EXACT_ROWS rows, else the Kolmogorov series of d * sqrt(n m / (n + m))."""
+    z = d * F.sqrt(n.cast("double") * m / (n + m))
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
                          lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * z * z))
-    p = F.when(z <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(2.0 * series, F.lit(0.0)), F.lit(1.0)))
-    return d.withColumn("ks_pvalue", p)
+    limit = F.least(F.greatest(2.0 * series, F.lit(0.0)), F.lit(1.0))
+    exact = (n > 0) & (m > 0) & (F.greatest(n, m) <= EXACT_ROWS) & (z < FAR)
+    return F.when(z <= 0, F.lit(1.0)).when(exact, _exact_ks(d, n, m, exact)).otherwise(limit)
+
+
+def _exact_ks(d: Column, n: Column, m: Column, on: Column) -> Column:
+    """The chance that a random order of n and m values has a distance of at least ``d``.
+
+    An order is a lattice path: after s values, i of them from the first side, it stands at
+    (i, s - i), and its distance there is |i m - (s - i) n| / (n m). Going s = 1, 2, ..., n + m,
+    the share of the paths to each point that have stayed nearer than ``d`` is that of the point
+    before on the same side, times its chance of being the point before (i / s, or (s - i) / s).
+    Only points nearer than ``d`` are kept: a band of some 2 d n m / (n + m) points."""
+    dist = F.round(d * n * m).cast("bigint")
+
+    def step(state, s):
+        lo = F.greatest(F.lit(0).cast("bigint"), s - m, F.floor((s * n - dist) / (n + m)) + 1)
+        hi = F.least(n, s, F.ceil((s * n + dist) / (n + m)) - 1)
+        before, at = state["share"], state["lo"]
+        share = F.when(lo <= hi, F.transform(F.sequence(lo, hi), lambda i: (
+            F.coalesce(F.get(before, (i - 1 - at).cast("int")), F.lit(0.0)) * i
+            + F.coalesce(F.get(before, (i - at).cast("int")), F.lit(0.0)) * (s - i)) / s)).otherwise(F.array().cast("array<double>"))
+        return F.struct(lo.alias("lo"), share.alias("share"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("lo"), F.array(F.lit(1.0)).alias("share"))
+    steps = F.when(on, F.sequence(F.lit(1).cast("bigint"), n + m)).otherwise(F.array().cast("array<bigint>"))
+    inside = F.aggregate(steps, start, step)["share"]
+    return F.greatest(F.lit(0.0), F.lit(1.0) - F.coalesce(F.get(inside, F.lit(0)), F.lit(0.0)))
 
 
 def psi(counts: DataFrame, batch_cols: Sequence[str] = (), n_bins: int = 10) -> DataFrame:
@@ -130,6 +168,13 @@ def chi2_sf(x: Column, dof: Column) -> Column:
              .when(dof == 4, F.exp(-h) * (1.0 + h)))
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be NULL, which the result has once (those of the left side)."""
+    r = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"__{k}"]) for k in keys])
+    return left.join(r, on, how).drop(*[f"__{k}" for k in keys])
+
+
 def chi_square_test(counts: DataFrame, batch_cols: Sequence[str] = ()) -> DataFrame:
     """H6: categories = values seen on either side; statistic
     sum (c - r')^2 / r' with +1e-10 per cell and the expected counts
@@ -137,36 +182,143 @@ def chi_square_test(counts: DataFrame, batch_cols: Sequence[str] = ()) -> DataFr
     g = [*batch_cols, "feature"]
     c = counts.select(*g, (F.col("n_ref") + EPS).alias("r"), (F.col("n_cur") + EPS).alias("c"))
     tot = c.groupBy(*g).agg(F.sum("r").alias("sr"), F.sum("c").alias("sc"), F.count(F.lit(1)).alias("k"))
-    stat = (c.join(tot, g)
+    stat = (_null_safe(c, tot, g)
              .select(*g, "k", (F.col("r") * F.col("sc") / F.col("sr")).alias("r2"), "c")
              .groupBy(*g).agg(F.sum(F.pow(F.col("c") - F.col("r2"), 2) / F.col("r2")).alias("chi2_statistic"),
                               F.first("k").alias("k")))
     return stat.withColumn("chi2_pvalue", chi2_sf(F.col("chi2_statistic"), F.col("k") - 1)).drop("k")
 
 
+#: Rank buckets of a feature of the reference, for looking up its order statistics.
+RANK_BUCKETS = 4096
+
+
+def order_statistics(ref: DataFrame, cur: DataFrame, totals: DataFrame, qs: Sequence[float],
+                     batch_cols: Sequence[str] = ()) -> DataFrame:
+    """Per (batch, feature): ``ks_statistic`` and ``stats``, the pooled order statistics around the
+    quantiles ``qs`` (two each, at floor and ceil of q (n - 1)) with the rows of the reference
+    (rl, re) and of the batch (cl, ce) below and up to each.
+
+    An as-of merge: running counts of the reference, taken once whatever the number of batches,
+    are carried into the distinct values of all batches; every batch has its own running counts.
+    A pooled order statistic is either a value of the batch, known from its own row, or a value
+    that only the reference has, looked up by its rank there (rank buckets hold a bounded share of
+    the reference, so no feature is one key). ``ref`` (feature, value, n) and ``cur`` (batch...,
+    feature, value, n) are counts; ``totals`` has n_ref and n_cur, none 0, of each (batch, feature) asked for."""
+    from churnlake.session import cut_lineage
+    g = [*batch_cols, "feature"]
+    zero = F.lit(0).cast("bigint")
+    values = (ref.select("feature", "value", F.col("n").alias("n_ref"))
+              .unionByName(cur.select("feature", "value", zero.alias("n_ref")))
+              .groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")))
+    known = cut_lineage(prefix_sums(cut_lineage(values), "value", ["n_ref"], ["feature"]))
+    own = prefix_sums(cur, "value", ["n"], g).join(known, ["feature", "value"])
+    rows = _null_safe(own, totals.select(*g, F.col("n_ref").alias("m_ref"), F.col("n_cur").alias("m_cur")), g)
+    rows = cut_lineage(rows.select(*g, "value", "m_ref", "m_cur", (F.col("cum_n_ref") - F.col("n_ref")).alias("rl"), F.col("cum_n_ref").alias("re"),
+                                   (F.col("cum_n") - F.col("n")).alias("cl"), F.col("cum_n").alias("ce")))
+    rl, re, cl, ce, m, n = (F.col(c) for c in ("rl", "re", "cl", "ce", "m_ref", "m_cur"))
+    position = [F.lit(float(q)) * (m + n - 1) for q in qs]
+    rank = [r for p in position for r in (F.floor(p), F.ceil(p))]
+    per = rows.groupBy(*g).agg(
+        F.max(F.greatest(F.abs(re / m - ce / n), F.abs(rl / m - cl / n))).alias("ks_statistic"), F.max("m_ref").alias("m_ref"), F.max("m_cur").alias("m_cur"),
+        *[F.coalesce(F.max(F.when(re + ce <= r, ce)), zero).alias(f"k{j}") for j, r in enumerate(rank)])
+    per = cut_lineage(per)
+    each = per.select(*g, "m_ref", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("j"), r.alias("r"), F.col(f"k{j}").alias("k")) for j, r in enumerate(rank)])).alias("x")).select(*g, "m_ref", "x.*")
+    hits = (rows.select(*g, F.struct(F.col("value").alias("v"), "rl", "re", "cl", "ce").alias("s"), F.explode(F.filter(
+        F.array(*[F.when((rl + cl <= r) & (r < re + ce), F.lit(j)) for j, r in enumerate(rank)]), lambda x: x.isNotNull())).alias("j")))
+    each = _null_safe(each, hits, [*g, "j"], "left")
+    width = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("m_ref") / RANK_BUCKETS))
+    asked = each.where(F.col("s").isNull()).drop("s").withColumn("t", F.col("r") - F.col("k")).withColumn("bucket", F.floor(F.col("t") / width))
+    size = ref.groupBy("feature").agg(F.sum("n").alias("m_ref"))  # a row per feature
+    held = (known.where("n_ref > 0").join(F.broadcast(size), "feature")
+            .select("feature", "value", "n_ref", "cum_n_ref", F.explode(F.sequence(
+                F.floor((F.col("cum_n_ref") - F.col("n_ref")) / width), F.floor((F.col("cum_n_ref") - 1) / width))).alias("bucket")))
+    found = (asked.join(held, ["feature", "bucket"])
+             .where((F.col("t") >= F.col("cum_n_ref") - F.col("n_ref")) & (F.col("t") < F.col("cum_n_ref")))
+             .select(*g, "j", F.struct(F.col("value").alias("v"), (F.col("cum_n_ref") - F.col("n_ref")).alias("rl"),
+                                       F.col("cum_n_ref").alias("re"), F.col("k").alias("cl"), F.col("k").alias("ce")).alias("s")))
+    both = each.where(F.col("s").isNotNull()).select(*g, "j", "s").unionByName(found)
+    stats = both.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("j", "s"))).alias("stats"))  # two per quantile
+    return _null_safe(per.select(*g, "ks_statistic"), stats, g, "left")
+
+
+def edges_of_statistics(stats: Column, n_ref: Column, n_cur: Column, qs: Sequence[float]) -> Column:
+    """array<struct<e, r, c>>: the interpolated quantiles and the rows of both sides below each,
+    known from the order statistics, whether the edge is a value or lies between two neighbours."""
+    def edge(i, q):
+        lo, hi = F.get(stats, F.lit(2 * i))["s"], F.get(stats, F.lit(2 * i + 1))["s"]
+        p = F.lit(float(q)) * (n_ref + n_cur - 1)
+        e = lo["v"] + (hi["v"] - lo["v"]) * (p - F.floor(p))
+
+        def below(lt, le):
+            return F.when(e <= lo["v"], lo[lt]).when(e >= hi["v"], hi[lt]).otherwise(lo[le])
+        return F.struct(e.alias("e"), below("rl", "re").alias("r"), below("cl", "ce").alias("c"))
+
+    return F.array(*[edge(i, q) for i, q in enumerate(qs)])
+
+
+def psi_of_edges(edges: Column, n_ref: Column, n_cur: Column) -> Column:
+    """H5 from the edges with the rows of both sides below each (``edges_of_statistics``). Equal
+    edges are one; the last bin is closed; +1e-10 per bin, normalised; fewer than 2 edges -> 0."""
+    def total(es):
+        bins = F.size(es) - 1
+        se, sa = n_ref + EPS * bins, n_cur + EPS * bins
+
+        def term(j):
+            first, last = j == 0, j == bins - 1
+            up = F.get(es, j + 1)
+            r = F.when(last, n_ref).otherwise(up["r"]) - F.when(first, 0).otherwise(F.get(es, j)["r"])
+            c = F.when(last, n_cur).otherwise(up["c"]) - F.when(first, 0).otherwise(F.get(es, j)["c"])
+            e, a = (r + EPS) / se, (c + EPS) / sa
+            return (a - e) * F.log(a / e)
+        terms = F.transform(F.sequence(F.lit(0), bins - 1), term)
+        return F.when(bins < 1, F.lit(0.0)).otherwise(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y))
+
+    distinct = F.transform(F.array(edges), lambda all_: F.filter(
+        all_, lambda x, i: (i == 0) | (x["e"] != F.get(all_, i - 1)["e"])))
+    return F.transform(distinct, total)[0]
+
+
 def column_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str] | None = None,
                  params: Params = Params(), batch_cols: Sequence[str] = ()) -> DataFrame:
     """H7: per feature: fewer than ``min_samples`` values on a side -> no
     test (score 0, p 1); at most 5 distinct values -> chi-square (score =
     p); else KS with PSI (score = KS statistic; drift when p < .05 or
-    PSI > .2).  Scores and p-values rounded to 4 (half-even)."""
+    PSI > .2).  Scores and p-values rounded to 4 (half-even).
+
+    One running count of the reference and one of the batches give every
+    statistic (``order_statistics``)."""
+    from churnlake.session import cut_lineage
     if features is None:
         features = [c for c in ref.columns if c in cur.columns]
     g = [*batch_cols, "feature"]
-    # four tests read the value counts: cut them once into the shared
-    # checkpoint folder (a reliable checkpoint, no executor memory held)
-    from churnlake.session import cut_lineage
-    counts = cut_lineage(value_counts(ref, cur, features, batch_cols))
-    summ = counts.groupBy(*g).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"),
-                                  F.count(F.lit(1)).alias("n_unique"))
+    rc = cut_lineage(_long(ref, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    cc = cut_lineage(_long(cur, features, batch_cols).groupBy(*g, "value").agg(F.count(F.lit(1)).alias("n")))
+    ref_size = rc.groupBy("feature").agg(F.sum("n").alias("n_ref"), F.count(F.lit(1)).alias("k_ref"))
+    # values that both sides have are met in the batch
+    common = cc.join(rc.select("feature", "value", F.lit(1).alias("in_ref")), ["feature", "value"], "left")
+    cur_size = common.groupBy(*g).agg(F.sum("n").alias("n_cur"), F.count(F.lit(1)).alias("k_cur"), F.count("in_ref").alias("k_both"))
+    joined = cur_size.join(ref_size, "feature", "left" if batch_cols else "full")
+    zero = F.lit(0).cast("bigint")
+    summ = cut_lineage(joined.select(*g, *[F.coalesce(c, zero).alias(c) for c in ("n_ref", "n_cur")],
+                                     (F.coalesce("k_ref", zero) + F.coalesce("k_cur", zero) - F.coalesce("k_both", zero)).alias("n_unique")))
     few = (F.col("n_ref") < params.min_samples) | (F.col("n_cur") < params.min_samples)
     cat = F.col("n_unique") <= params.categorical_max_distinct
-    # the test is chosen first; each test reads the counts of its own features
-    numeric = counts.join(summ.where(~few & ~cat).select(*g), g, "left_semi")
-    ks = ks_test(numeric, batch_cols).select(*g, "ks_statistic", "ks_pvalue")
-    ps = psi(numeric, batch_cols)
-    ch = chi_square_test(counts.join(summ.where(~few & cat).select(*g), g, "left_semi"), batch_cols)
-    j = summ.join(ks, g, "left").join(ps, g, "left").join(ch, g, "left")
+    qs = [i / 10 for i in range(11)]
+    os_ = order_statistics(rc, cc, summ.where(~few & ~cat), qs, batch_cols)
+    # at most five values: the counts of these features are a few rows
+    cats = summ.where(~few & cat).select(*g)
+    small = rc.join(ref_size.where(F.col("k_ref") <= params.categorical_max_distinct).select("feature"), "feature", "left_semi")
+    counts = (cats.join(small, "feature").select(*g, "value", F.col("n").alias("n_ref"), zero.alias("n_cur"))
+              .unionByName(_null_safe(cc, cats.withColumn("__cat", F.lit(True)), g).select(*g, "value", zero.alias("n_ref"), F.col("n").alias("n_cur")))
+              .groupBy(*g, "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
+    ch = chi_square_test(counts, batch_cols)
+    j = _null_safe(_null_safe(summ, os_, g, "left"), ch, g, "left")
+    # one row per (batch, feature): the edges are computed once
+    j = cut_lineage(j.withColumn("edges", edges_of_statistics(F.col("stats"), F.col("n_ref"), F.col("n_cur"), qs)).drop("stats"))
+    j = j.withColumn("ks_pvalue", F.when(~few & ~cat, ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")))) \
+         .withColumn("psi", F.when(~few & ~cat, psi_of_edges(F.col("edges"), F.col("n_ref"), F.col("n_cur"))))
     test = F.when(few, "none").when(cat, "chi_square").otherwise("ks")
     score = F.when(few, 0.0).when(cat, F.col("chi2_pvalue")).otherwise(F.col("ks_statistic"))
     pval = F.when(few, 1.0).when(cat, F.col("chi2_pvalue")).otherwise(F.col("ks_pvalue"))
@@ -174,8 +326,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str] | None
                 .when(cat, F.col("chi2_pvalue") < params.ks_pvalue_threshold)
                 .otherwise((F.col("ks_pvalue") < params.ks_pvalue_threshold) | (F.col("psi") > params.psi_threshold)))
     return j.select(*g, test.alias("test"), F.bround(score, 4).alias("drift_score"),
-                    F.bround(pval, 4).alias("p_value"),
-                    F.when(~few & ~cat, F.col("psi")).alias("psi"), drifted.alias("drifted"),
+                    F.bround(pval, 4).alias("p_value"), "psi", drifted.alias("drifted"),
                     F.col("n_ref").cast("bigint").alias("n_ref"), F.col("n_cur").cast("bigint").alias("n_cur"))
 
 

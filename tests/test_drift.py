@@ -66,3 +66,71 @@ def test_report_thresholds(spark):
     assert r["status"] == "critical" and r["drift_share"] == 0.3 and r["dataset_drift"]
     cd2 = spark.createDataFrame([(f"f{i}", i < 2) for i in range(10)], "feature string, drifted boolean")
     assert DR.drift_report(cd2, 10, 10).first()["status"] == "warning"
+
+
+def _brute_ks(n, m):
+    """Distance * n * m -> share of all orders with at least that distance."""
+    import itertools
+    from collections import Counter
+    seen = Counter()
+    for first in itertools.combinations(range(n + m), n):
+        i = j = d = 0
+        for k in range(n + m):
+            if k in first:
+                i += 1
+            else:
+                j += 1
+            d = max(d, abs(i * m - j * n))
+        seen[d] += 1
+    total = sum(seen.values())
+    return {d: sum(c for e, c in seen.items() if e >= d) / total for d in seen}
+
+
+def test_exact_ks_pvalue_is_that_of_all_orders(spark):
+    rows = [(d / (n * m), n, m, p) for n, m in ((3, 4), (5, 5), (6, 2), (7, 6), (1, 3), (8, 4)) for d, p in _brute_ks(n, m).items()]
+    df = spark.createDataFrame(rows + [(0.0, 4, 4, 1.0)], "d double, n long, m long, p double")
+    for r in df.withColumn("got", DR.ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect():
+        assert r["got"] == pytest.approx(r["p"], abs=1e-12)
+
+
+def test_exact_and_limit_meet_at_the_switch(spark):
+    df = spark.createDataFrame([(0.02, 10_000, 10_000), (0.02, 10_001, 10_000), (0.9, 50, 60)], "d double, n long, m long")
+    a, b, far = [r[0] for r in df.select(DR.ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect()]
+    assert a == pytest.approx(b, rel=0.01) and a != b and far < 1e-12
+
+
+def test_many_batches_against_one_reference(spark, monkeypatch):
+    import random
+    rng = random.Random(9)
+    # small rank buckets, ties, values that only one side has, an empty side, a NULL batch
+    monkeypatch.setattr(DR, "RANK_BUCKETS", 7)
+    ref = [(round(rng.gauss(0, 3), 1), float(rng.randint(0, 3)), rng.random(), None) for _ in range(400)]
+    cur = [(b, round(rng.gauss(i, 3), 1) if i != 2 else 1.5, float(rng.randint(0, 3)), 2 * rng.random() if i != 1 else None, 1.0)
+           for i, b in enumerate(["a", "b", "c", None]) for _ in range(rng.choice([60, 150]))]
+    cols = ["tied", "cat", "free", "gone"]
+    r = spark.createDataFrame(ref, "tied double, cat double, free double, gone double")
+    c = spark.createDataFrame(cur, "b string, tied double, cat double, free double, gone double")
+    got = {(x["b"], x["feature"]): x for x in DR.column_drift(r, c, cols, batch_cols=["b"]).collect()}
+    assert len(got) == 4 * 4 - 1  # batch b has no value of free
+    for b in ("a", "b", "c", None):
+        one = c.where(F.col("b").eqNullSafe(F.lit(b))).drop("b")
+        counts = DR.value_counts(r, one, cols)
+        tested = counts.where(F.col("feature").isin([f for f in cols if (b, f) in got and got[(b, f)]["test"] != "none"]))
+        ks = {x["feature"]: x for x in DR.ks_test(tested).collect()}
+        psi = {x["feature"]: x["psi"] for x in DR.psi(tested).collect()}
+        chi = {x["feature"]: x for x in DR.chi_square_test(tested).collect()}
+        alone = {x["feature"]: x for x in DR.column_drift(r, one, cols).collect()}
+        for f in cols:
+            if (b, f) not in got:
+                assert alone[f]["test"] == "none" and alone[f]["n_cur"] == 0
+                continue
+            x = got[(b, f)]
+            assert tuple(alone[f])[1:] == tuple(x)[2:]
+            if f == "gone":
+                assert x["test"] == "none" and x["n_ref"] == 0
+            elif x["test"] == "ks":
+                assert x["drift_score"] == pytest.approx(ks[f]["ks_statistic"], abs=5.1e-5)
+                assert x["p_value"] == pytest.approx(ks[f]["ks_pvalue"], abs=5.1e-5)
+                assert x["psi"] == pytest.approx(psi[f], rel=1e-9)
+            else:
+                assert f == "cat" and x["p_value"] == pytest.approx(chi[f]["chi2_pvalue"], abs=5.1e-5)
