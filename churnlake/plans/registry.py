@@ -33,4 +33,4 @@ def query(name: str, sql: str | None = None, dbl=(), ts=(), ints=()):
 def load_all() -> None:
     """Import the modules that register queries."""
     from churnlake.plans import (q_diagnostics, q_domain, q_drift, q_feature_table,  # noqa: F401
-                                 q_io, q_metrics, q_ml, q_scoring, q_stateful, q_streaming)
+                                 q_io, q_metrics, q_ml, q_scoring, q_stateful, q_streaming, q_versions)
