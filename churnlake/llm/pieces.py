@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -87,14 +88,14 @@ class Pieces:
                 best.pop(k, None)
             done = to
 
-        reach = 0
+        reach, look = 0, 4 * longest
         for i in range(n):
             if i not in best:
                 continue
             score = best[i][0]
             if reach <= i and i > done:  # no open path passes i: all meet here
                 commit(i, i)
-            elif i - done > 4 * longest:  # else follow the open paths back until they meet
+            elif i >= look and i - done > 4 * longest:  # else follow the open paths back until they meet
                 ends = {j for j in range(i, reach + 1) if j in best}
                 while len(ends) > 1:
                     j = max(ends)
@@ -103,6 +104,9 @@ class Pieces:
                 meet = ends.pop()
                 if meet > done:
                     commit(meet, meet)
+                # the way back is as long as what is open: the next look is as far ahead, so that all
+                # ways back together are as long as the text, also where paths never meet
+                look = i + max(longest, i - done)
             node, j, whole = trie, i, False
             while j < n:
                 node = node.get(text[j])
@@ -128,6 +132,39 @@ class Pieces:
             commit(n, n)
         return out
 
+    def short(self, text: str) -> list[int]:
+        """The same for a text within the distance at which ``viterbi`` first looks for a meeting
+        point: all of it is open until its end."""
+        trie, n = self.trie, len(text)
+        score, back, ids = [0.0] + [-math.inf] * n, [0] * (n + 1), [()] * (n + 1)
+        for i in range(n):
+            base = score[i]
+            if base == -math.inf:
+                continue
+            node, j, whole = trie, i, False
+            for c in text[i:i + self.longest]:
+                node = node.get(c)
+                if node is None:
+                    break
+                j += 1
+                hit = node.get("")
+                if hit is not None:
+                    if j == i + 1:
+                        whole = True
+                    s = base + hit[1]
+                    if s > score[j]:
+                        score[j], back[j], ids[j] = s, i, (hit[0],)
+            if not whole:  # the single character is no piece: its bytes
+                raw = text[i].encode()
+                s = base + BYTE_SCORE * len(raw)
+                if s > score[i + 1]:
+                    score[i + 1], back[i + 1], ids[i + 1] = s, i, tuple(self.byte_ids[x] for x in raw)
+        out, at = [], n
+        while at:
+            out.append(ids[at])
+            at = back[at]
+        return [x for piece in reversed(out) for x in piece]
+
     def encode_raw(self, text: str) -> bytes:
         """The ids as 32-bit integers, one after another."""
         return b"".join(map(self.memo.__getitem__, self.segments(" " + text))) if text else b""
@@ -168,7 +205,8 @@ class _Memo(dict):
         self.pieces = pieces
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.pieces.viterbi(part), np.int32).tobytes()
+        p = self.pieces
+        ids = array("i", p.short(part) if len(part) <= 4 * p.longest else p.viterbi(part)).tobytes()
         if len(part) <= MEMO_CHARS:
             if len(self) >= MEMO:
                 self.clear()

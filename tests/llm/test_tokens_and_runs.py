@@ -262,3 +262,26 @@ def test_op12_query_and_edge_cases(spark, corpus, monkeypatch):
 
 def test_periodic_runs_of_an_empty_table(spark):
     assert periodic.periodic_runs(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+# ---------------------------------------------------------------- streaming Viterbi
+
+def test_short_texts_have_the_same_ids():
+    from churnlake.llm import pieces
+    p, rng = pieces._pieces(*pieces.vocabulary(TOKENIZER)), random.Random(8)
+    signs = ["a", "e", "the", " ", "ing", "日", "é", "ሴ", "==", "-", "1", "\n", "tion", "ss"]
+    for _ in range(400):
+        t = "".join(rng.choice(signs) for _ in range(rng.randint(0, 14)))[:4 * p.longest]
+        assert p.short(t) == p.viterbi(t)
+
+
+def test_equal_letters_take_linear_time():
+    import time
+    from churnlake.llm import pieces
+    p = pieces._pieces(*pieces.vocabulary(TOKENIZER))
+    took = {}
+    for n in (20_000, 200_000):
+        t0 = time.process_time()
+        assert p.decode(p.viterbi(" " + "=" * n)) == "=" * n
+        took[n] = time.process_time() - t0
+    assert took[200_000] < 30 * took[20_000] + 5
