@@ -127,17 +127,25 @@ def _coded(batches, orders: int):
 
 
 def blocks(units: DataFrame) -> DataFrame:
-    """(node, number, x): nodes numbered along one random order. The high bits of a number name
-    the node's block, a stretch of so many nodes at most, so no join is needed to tell it."""
+    """(node, number, x): nodes numbered along one random order, without gaps. The high bits of a number
+    name the node's block, so no join is needed to tell it, and every block but the last is full,
+    however many partitions the rows are dealt to."""
     def run(batches):
-        first = TaskContext.get().partitionId() << 36
+        part, at = TaskContext.get().partitionId(), 0
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(first + np.arange(len(b))), b.column(2)], ["node", "number", "x"])
-            first += len(b)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(np.full(len(b), part)), pa.array(at + np.arange(len(b))), b.column(2)], ["node", "part", "at", "x"])
+            at += len(b)
 
     order = units.mapInArrow(lambda it: _coded(it, 1), "code long, node long, x binary")
-    return (order.repartitionByRange("code", "node").sortWithinPartitions("code", "node")
-            .mapInArrow(run, "node long, number long, x binary"))
+    placed = stored(order.repartitionByRange("code", "node").sortWithinPartitions("code", "node")
+                    .mapInArrow(run, "node long, part long, at long, x binary"), "ann-places")
+    sizes = sorted(placed.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row a partition
+    before, rows = 0, []
+    for r in sizes:
+        rows.append((r["part"], before))
+        before += r["n"]
+    first = units.sparkSession.createDataFrame(rows, "part long, before long")
+    return placed.join(F.broadcast(first), "part").select("node", (F.col("before") + F.col("at")).alias("number"), "x")
 
 
 def _block(node: str, bits: int):

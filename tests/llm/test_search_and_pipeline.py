@@ -59,6 +59,20 @@ def test_search_small_and_empty(spark):
     assert nn_descent.nearest(few.limit(0), "id % 20 = 0").count() == 0
 
 
+def test_blocks_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(5)
+    table = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(700)], "vec_id long, embedding array<double>")
+    units = nn_descent._unit(nn_descent.nodes_of(nn_descent.usable(table), 3))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (2, 97):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            got = nn_descent.blocks(units).select("node", "number").collect()
+            assert sorted(r["number"] for r in got) == list(range(700)) and {r["node"] for r in got} == set(range(700))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # ---------------------------------------------------------------- decontamination
 
 ITEMS = [(0, "A train travels 120 km in 2 hours while Alice waits at the old station, then it stops for 2 hours again."),
