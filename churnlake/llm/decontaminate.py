@@ -21,7 +21,7 @@ WINDOW, LEAST_ITEM = 10, 5
 LEAST_LITERALS = 5
 #: Kinds of windows: equal templates and slot patterns, or equal words.
 BY_TEMPLATE, BY_WORDS = 0, 1
-#: Benchmark windows up to this many (8-byte hashes) are broadcast; more are joined by a shuffle.
+#: Benchmark windows, and rows with hits, up to this many (8-byte hashes) are broadcast; more are joined by a shuffle.
 BROADCAST_WINDOWS = 2_000_000
 
 #: FIXED VALUES: words and signs that count as units after a number.
@@ -32,18 +32,21 @@ UNITS = ["%", "percent", "kilometers?", "kilometres?", "km", "kmh", "mph", "mete
          "kw", "kwh", "volts?", "hz", "khz", "mhz", "ghz", "kb", "mb", "gb", "tb"]
 NUMBER, UNIT, NAME = "\x02", "\x03", "\x04"
 _MARKS = f"{NUMBER}{UNIT}{NAME}"
-#: Letters of scripts that put no space between words.
-_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]\p{M}*"
+#: Letters of scripts that put no space between words (all of them stand after U+0E00, which is quickly seen).
+_UNSPACED = r"[\x{E00}-\x{10FFFF}&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]&&\p{L}]\p{M}*"
 
 
 def marked(text: Column) -> Column:
     """Lower-case words separated by spaces, punctuation dropped; a mark stands before the
-    value of each number, unit (after a number) and name (a capitalised word inside a sentence)."""
-    x = F.regexp_replace(F.translate(text, _MARKS, "   "), f"({_UNSPACED})", " $1 ")
-    x = F.regexp_replace(x, r"(?<=[\p{Ll}\p{N}][,;:]? )(\p{Lu}[\p{L}\p{M}]*)", NAME + "$1")
+    value of each number, unit (after a number) and name (a capitalised word inside a sentence).
+    Each pattern begins with a look at one character, so most places are passed at once."""
+    x = F.regexp_replace(F.regexp_replace(text, f"[{_MARKS}]", " "), f"({_UNSPACED})", " $1 ")
+    x = F.regexp_replace(x, r"(?=\p{Lu})(?<=[\p{Ll}\p{N}][,;:]? )(\p{Lu}[\p{L}\p{M}]*)", NAME + "$1")
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    x = F.regexp_replace(x, rf"(?i)(?<![\p{{L}}\p{{N}}])(\d+(?:[.,]\d+)*)(?:[ -]?({units}))?(?![\p{{L}}\p{{N}}])", f" {NUMBER}$1 {UNIT}$2 ")
-    x = F.regexp_replace(x, rf"[^\p{{L}}\p{{M}}\p{{N}}{_MARKS}.,%]+|[.,](?!\d)|(?<!\d)[.,]|{UNIT}(?![\p{{L}}%])|(?<!{UNIT})%", " ")
+    x = F.regexp_replace(x, rf"(?i)(?=\d)(?<![\p{{L}}\p{{N}}])(\d+(?:[.,]\d+)*)(?:[ -]?({units}))?(?![\p{{L}}\p{{N}}])", f" {NUMBER}$1 {UNIT}$2 ")
+    # signs that depend on their neighbours first, then all others (two quick patterns; one with both is slow)
+    x = F.regexp_replace(x, rf"(?=[.,%{UNIT}])(?:[.,](?!\d)|(?<!\d)[.,]|{UNIT}(?![\p{{L}}%])|(?<!{UNIT})%)", " ")
+    x = F.regexp_replace(x, rf"[^ a-zA-Z0-9\p{{L}}\p{{M}}\p{{N}}{_MARKS}.,%]+", " ")
     return F.lower(F.trim(x))
 
 
@@ -53,11 +56,16 @@ def template(words: Column) -> Column:
 
 
 def _tokens(words: Column) -> Column:
-    return F.filter(F.split(words, " +"), lambda t: t != "")
+    return F.filter(F.split(words, " "), lambda t: t != "")
 
 
-def _windows(tokens: str, size: int) -> Column:
-    return F.expr(f"if(size({tokens}) >= {size}, transform(sequence(1, size({tokens}) - {size} + 1), i -> xxhash64(slice({tokens}, i, {size}))), array())")
+def _window_hash(tokens: Column) -> Column:
+    """The hash of a window: that of the hashes of its tokens, so a text hashes each token once."""
+    return F.xxhash64(F.transform(tokens, lambda t: F.xxhash64(t)))
+
+
+def _windows(hashes: str, size: str) -> Column:
+    return F.expr(f"if(size({hashes}) >= {size}, transform(sequence(1, size({hashes}) - {size} + 1), i -> xxhash64(slice({hashes}, i, {size}))), cast(array() as array<bigint>))")
 
 
 def _pattern(window: str) -> Column:
@@ -68,7 +76,7 @@ def _pattern(window: str) -> Column:
 
 def _bare(words: Column) -> Column:
     """The tokens of a marked text without the marks: what the text says, wherever it stands."""
-    return _tokens(F.translate(words, _MARKS, ""))
+    return _tokens(F.regexp_replace(words, f"[{_MARKS}]", ""))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -87,9 +95,9 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     plain = F.size(F.filter("t", lambda t: ~t.isin(NUMBER, UNIT, NAME)))
     by_template = (plain >= LEAST_LITERALS) & (F.col("size") >= min(LEAST_ITEM, window))
     some = (each.filter(by_template)
-            .select(F.lit(BY_TEMPLATE).alias("kind"), "item_id", "size", F.xxhash64("t").alias("hash"), F.concat_ws(" ", "t").alias("frame"), _pattern("r").alias("pattern")))
+            .select(F.lit(BY_TEMPLATE).alias("kind"), "item_id", "size", _window_hash(F.col("t")).alias("hash"), F.concat_ws(" ", "t").alias("frame"), _pattern("r").alias("pattern")))
     rest = (each.filter(~by_template | (F.col("size") < window))
-            .select(F.lit(BY_WORDS).alias("kind"), "item_id", "size", F.xxhash64("w").alias("hash"), F.concat_ws(" ", "w").alias("frame"), _pattern("cast(array() as array<string>)").alias("pattern")))
+            .select(F.lit(BY_WORDS).alias("kind"), "item_id", "size", _window_hash(F.col("w")).alias("hash"), F.concat_ws(" ", "w").alias("frame"), _pattern("cast(array() as array<string>)").alias("pattern")))
     return some.union(rest).groupBy("kind", "size", "hash", "frame", "pattern").agg(F.min("item_id").alias("item_id"))
 
 
@@ -104,22 +112,29 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     hashes = bench.select("kind", "size", "hash").distinct()
     if hashes.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
+    # one pass over the texts (explode_outer: for explode Spark adds a filter on the array's size, for which
+    # patterns and windows would be computed twice; rows without a window have a null hash): tokens are hashed once, every (size, kind) takes its windows of the hashes
     words = rows.select("doc_id", "text_key", marked(F.col("text")).alias("words"))
-    tokens = {BY_TEMPLATE: words.select("doc_id", "text_key", _tokens(template(F.col("words"))).alias("tokens")),
-              BY_WORDS: words.select("doc_id", "text_key", _bare(F.col("words")).alias("tokens"))}
-    found = None
-    for size, kind in sizes:  # two in general: the items shorter than a window add theirs
-        some = (tokens[kind].select("doc_id", "text_key", F.posexplode(_windows("tokens", size)).alias("at", "hash"))
-                .select("doc_id", "text_key", (F.col("at") + 1).alias("at"), F.lit(size).alias("size"), F.lit(kind).alias("kind"), "hash")
-                .join(hashes, ["kind", "size", "hash"]).select("doc_id", "text_key", "at", "size", "kind"))
-        found = some if found is None else found.union(some)
-    per_row = found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "size", "kind")).alias("hits"))
-    again = (rows.alias("d").join(per_row.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key")))
+    tokens = {BY_TEMPLATE: _tokens(template(F.col("words"))), BY_WORDS: _bare(F.col("words"))}
+    kinds = sorted({k for _, k in sizes})
+    hashed = words.select("doc_id", "text_key", F.array(*(F.struct(F.lit(k).alias("kind"), F.transform(tokens[k], lambda t: F.xxhash64(t)).alias("hashes")) for k in kinds)).alias("sorts"))
+    each = hashed.select("doc_id", "text_key", F.explode_outer("sorts").alias("s")).select("doc_id", "text_key", "s.kind", "s.hashes")
+    lengths = F.create_map(*(x for k in kinds for x in (F.lit(k), F.array(*(F.lit(s) for s, of in sizes if of == k)))))
+    each = each.select("doc_id", "text_key", "kind", "hashes", F.explode_outer(lengths[F.col("kind")]).alias("size"))
+    found = (each.select("doc_id", "text_key", "size", "kind", F.posexplode_outer(_windows("hashes", "size")).alias("at", "hash"))
+             .join(hashes, ["kind", "size", "hash"]).select("doc_id", "text_key", (F.col("at") + 1).alias("at"), "size", "kind"))
+    per_row = stored(found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "size", "kind")).alias("hits")), "bench-hits")
+    # only rows with hits are looked at again: where they are few, the texts are filtered where they lie
+    names = per_row.select(F.col("doc_id").alias("hit_doc"), F.col("text_key").alias("hit_key"))
+    if names.count() <= BROADCAST_WINDOWS:
+        names = F.broadcast(names)
+    again = rows.join(names, F.col("doc_id").eqNullSafe(F.col("hit_doc")) & (F.col("text_key") == F.col("hit_key")), "left_semi")
+    again = (again.alias("d").join(per_row.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key")))
              .select("d.doc_id", "d.text_key", "f.hits", marked(F.col("d.text")).alias("words")))
     # the row once: rows that repeat an id and a text have the same windows
     again = again.dropDuplicates(["doc_id", "text_key"])
     again = again.select("doc_id", "text_key", "hits", _tokens(F.col("words")).alias("raw"), _tokens(template(F.col("words"))).alias("tpl"), _bare(F.col("words")).alias("bare"))
-    shown = again.select("doc_id", "text_key", F.explode(F.expr(
+    shown = again.select("doc_id", "text_key", F.explode_outer(F.expr(
         f"transform(hits, h -> struct(h.at as at, h.size as size, h.kind as kind, if(h.kind = {BY_WORDS}, cast(array() as array<string>), slice(raw, h.at, h.size)) as r, "
         f"slice(if(h.kind = {BY_WORDS}, bare, tpl), h.at, h.size) as t))")).alias("w"))
     shown = shown.select("doc_id", "text_key", "w.at", "w.size", "w.kind", F.concat_ws(" ", "w.t").alias("frame"), _pattern("w.r").alias("pattern"))

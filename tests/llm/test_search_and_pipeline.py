@@ -145,6 +145,53 @@ def test_decontamination_matches_verbatim_search(spark):
     assert all(grams(texts[i]) & known for i, f in flags.items() if f)
 
 
+def test_window_counts_are_those_of_all_pairs_of_windows(spark):
+    """n_windows against a plain comparison of every text window with every benchmark window."""
+    items = [t for _, t in ITEMS if t] + ["Compute sin 45 degrees", "2, 3, 5, 8, 13, 21, 34, 55 and 89 more", "Berlin Paris London Rome Madrid Vienna Lisbon Oslo Athens Dublin Prague"]
+    rng = random.Random(3)
+    words = " ".join(items).split()
+    texts = ["", "we say " + items[0]] + [" ".join(rng.choice(items) if rng.random() < 0.3 else rng.choice(words) for _ in range(rng.randrange(1, 12))) for _ in range(60)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: (r["n_windows"], r["item_id"]) for r in decontaminate.contamination(docs, bench).collect()}
+
+    def tokens(frame, key):
+        out = frame.select(key, decontaminate.marked(F.col("text")).alias("m"))
+        return {r[0]: r["m"].split() for r in out.collect()}
+    marks = "\x02\x03\x04"
+
+    def pattern(window):
+        slots = [w for w in window if w[0] in marks]
+        return tuple(slots.index(w) for w in slots)
+
+    def frame(window):
+        return tuple(w[0] if w[0] in marks else w for w in window)
+
+    def bare(window):
+        return tuple(x for x in (w.translate({2: None, 3: None, 4: None}) for w in window) if x)
+    by_template, by_words = {}, {}
+    for i, ws in tokens(bench, "item_id").items():
+        n = min(len(ws), 10)
+        for at in range(len(ws) - n + 1):
+            w = ws[at:at + n]
+            plain = sum(x[0] not in marks for x in w)
+            typed = plain >= 5 and n >= 5
+            if typed:
+                by_template.setdefault((frame(w), pattern(w)), set()).add(i)
+            if not typed or n < 10:
+                by_words.setdefault(bare(w), set()).add(i)
+    for d, ws in tokens(docs, "doc_id").items():
+        hits = {}
+        for n in range(1, 11):
+            for at in range(len(ws) - n + 1):
+                w = ws[at:at + n]
+                found = by_template.get((frame(w), pattern(w)), set()) | by_words.get(bare(w), set())
+                if found:
+                    hits[at, n] = min(found)
+        assert got[d] == (len(hits), min(hits.values(), default=None)), texts[d]
+    assert len({n for n, _ in got.values()}) > 5
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_take_effect(spark):
