@@ -158,4 +158,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     """The rows of ``docs`` (all columns) with no consistent window hit."""
     hits = matches(docs, benchmark, window).select(F.col("doc_id").alias("hit_doc"), F.col("text_key").alias("hit_key")).distinct()
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("hit_doc")) & (key == F.col("hit_key")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_doc"), key.alias("own_key"))  # other columns cannot clash
+    return rows.join(hits, F.col("own_doc").eqNullSafe(F.col("hit_doc")) & (F.col("own_key") == F.col("hit_key")), "left_anti").select("row.*")

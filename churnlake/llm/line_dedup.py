@@ -73,10 +73,12 @@ def dedup(docs: DataFrame, run: int = RUN) -> DataFrame:
 def deduplicated(docs: DataFrame, run: int = RUN) -> DataFrame:
     """``docs`` (its own columns) with the text cut, and ``n_chars``, if there, counted anew.
     A document that had text and loses every line goes."""
-    cut = dedup(docs, run)
+    # the caller's columns travel as one struct: their names cannot clash with those of ``dedup``
+    cut = dedup(docs.select("doc_id", "text", F.struct("*").alias("row")), run)
     left = cut.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    own = F.col("row").getField
     out = [F.col("kept_text").alias(c) if c == "text" else
-           F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+           F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(own(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else own(c).alias(c)
            for c in docs.columns]
     return left.select(*out)
 

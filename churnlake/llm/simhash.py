@@ -119,6 +119,8 @@ def representatives(docs: DataFrame, width: int = 3, bits: int = 2, seed: int =
     best = (_groups(own, bits).join(first, "fp").groupBy("root").agg(F.min("first").alias("best"))
             .select(F.xxhash64("best.doc_id", "best.text_key").alias("kept_row"), F.col("best.doc_id").alias("kept_doc"), F.col("best.text_key").alias("kept_text")))
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    marked = docs.withColumn("own_text", key).withColumn("own_row", F.xxhash64(F.col("doc_id").cast("long"), "own_text"))
-    kept = marked.join(best, (F.col("own_row") == F.col("kept_row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("kept_doc")) & (F.col("own_text") == F.col("kept_text")))
-    return kept.dropDuplicates(["own_row", "kept_doc", "own_text"]).select(*docs.columns)
+    # the caller's columns travel as one struct: their names cannot clash with those used here
+    marked = (docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_doc"), key.alias("own_text"))
+              .withColumn("own_row", F.xxhash64("own_doc", "own_text")))
+    kept = marked.join(best, (F.col("own_row") == F.col("kept_row")) & F.col("own_doc").eqNullSafe(F.col("kept_doc")) & (F.col("own_text") == F.col("kept_text")))
+    return kept.dropDuplicates(["own_row", "kept_doc", "own_text"]).select("row.*")

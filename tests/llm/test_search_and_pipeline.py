@@ -194,6 +194,23 @@ def test_window_counts_are_those_of_all_pairs_of_windows(spark):
 
 # ---------------------------------------------------------------- pipeline
 
+def test_extra_columns_may_have_any_name(spark):
+    names = ["ats", "cut_doc", "cut_key", "kept_text", "n_lines", "n_removed", "gone_lines", "all_lines", "kept_row", "kept_doc",
+             "own_text", "own_row", "own_doc", "own_key", "hit_doc", "hit_key", "text_key", "fp", "row", "h", "size", "words"]
+    page = "one line here\nanother line there\nand a third one"
+    rows = [(1, page + "\nfirst end"), (2, page + "\nquite another ending of this text"), (3, "we say " + ITEMS[1][1]), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, None, None, len(t or "")) for i, t in rows], SCHEMA)
+    wide = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for stage in (line_dedup.deduplicated, simhash.representatives, lambda d: decontaminate.decontaminated(d, bench)):
+        plain = sorted(map(tuple, stage(docs).collect()), key=str)
+        got = stage(wide)
+        assert got.columns == wide.columns
+        out = got.collect()
+        assert sorted((tuple(r)[:len(docs.columns)] for r in out), key=str) == plain
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in out for n in names)
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
