@@ -6,7 +6,8 @@ So only anchors are compared across the corpus: a string whose anchor is unique
 is unique. Suffixes that share an anchor and an offset are sorted by mergesort;
 a comparison finds the common extension of two suffixes by binary search over
 prefix polynomial hashes, and neighbours with ``span`` common bytes are compared
-byte by byte before they count."""
+byte by byte before they count. Whole contexts that stand more than once (copies) are
+verified by a second hash of all their bytes that is independent of the first."""
 
 from __future__ import annotations
 
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import keyed, mix64, prefix_hash, slabs, span_hash, stored, utf8
 
@@ -42,13 +44,16 @@ def _windows(offsets: np.ndarray, span: int):
 
 def anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
     """(doc_id, text_key, lo, hi, at, gram_hash, context): the window starts lo..hi
-    of a row (bytes) whose anchor is ``at`` bytes after lo. context: hash of the
-    bytes [lo, hi + span) with ``at``; equal contexts repeat every window in them."""
+    of a row (bytes) whose anchor is ``at`` bytes after lo. context: XXH3 of the bytes
+    [lo, hi + span) with ``at``, a hash of another kind than the polynomial gram_hash, so
+    text made to collide under one (Thue-Morse words) differs under the other; rows equal
+    in both repeat every window in them."""
     width = span - gram + 1
 
     def run(batches):
         for b in batches:
             buf, offs = utf8(b.column(2))
+            raw = memoryview(np.ascontiguousarray(buf))
             cols = [[] for _ in range(6)]
             for s, e, i, j in _windows(offs, span):
                 n = e - s - span + 1
@@ -74,7 +79,8 @@ def anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
                 good = ok[lo]
                 lo, hi = lo[good], hi[good]
                 a = at[lo]
-                ctx = mix64(span_hash(p, lo, hi + span) ^ ((hi - lo) * 1024 + a - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+                ctx = np.array([xxh3_64_intdigest(raw[s + i:s + j], k) for i, j, k in
+                                zip(lo.tolist(), (hi + span).tolist(), (a - lo).tolist())], np.uint64)
                 for c, v in zip(cols, (row[lo], s + lo - offs[row[lo]], s + hi - offs[row[lo]], a - lo, h[a].view(np.int64), ctx.view(np.int64))):
                     c.append(v)
             row, lo, hi, at, h, ctx = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols)

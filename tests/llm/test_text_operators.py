@@ -86,6 +86,24 @@ def test_substring_dedup_long_row_is_cut_with_overlap(spark, monkeypatch):
     assert sorted(got, key=str) == brute_substrings(rows, 60)
 
 
+def test_suffix_dedup_tells_apart_contexts_that_collide_under_the_polynomial(spark):
+    """Thue-Morse words of 2^11 letters and their complement have equal polynomial hashes
+    modulo 2^64 under any multiplier; only the real copy may go."""
+    rnd = np.random.default_rng(5)
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(1 << 11))
+    other = word.translate(str.maketrans("ab", "ba"))
+    h = [suffix_dedup.prefix_hash(np.frombuffer(w.encode(), np.uint8)) for w in (word, other)]
+    assert suffix_dedup.span_hash(h[0], np.array([0]), np.array([len(word)]))[0] == suffix_dedup.span_hash(h[1], np.array([0]), np.array([len(word)]))[0]
+    rows = []
+    for k in range(8):  # other surroundings each time, so that some anchors stand outside the words
+        left, right = ("".join(rnd.choice(list("cdefghijkl"), 900)) for _ in range(2))
+        rows += [(2 * k, left + word + right), (2 * k + 1, left + other + right)]
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup(frame(spark, rows), 2500, 100).collect()}
+    assert got == {k: 0 for k in range(16)}
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup(frame(spark, [*rows, (16, rows[2][1])]), 2500, 100).collect()}
+    assert got == {k: 3848 * (k in (2, 16)) for k in range(17)}
+
+
 def test_mergesort_orders_suffixes_and_finds_common_extensions():
     rng = np.random.default_rng(3)
     buf = rng.integers(97, 99, 600).astype(np.uint8)
