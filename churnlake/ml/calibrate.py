@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -43,22 +45,29 @@ def calibrate_sigmoid(train: DataFrame, fit: Callable[[DataFrame], object], fold
     other folds and a Platt map on the held-out margins.  Returns the list
     of (base model, platt model) pairs; ``predict_calibrated`` averages
     their probabilities."""
-    pairs = []
-    for f in range(k):
+    def one(f):
         base = fit(train.where(F.col(fold_col) != f))
         held = _margin(base.transform(train.where(F.col(fold_col) == f)))
-        pairs.append((base, fit_platt(held, label)))
-    return pairs
+        return base, fit_platt(held, label)
 
+    with ThreadPool(k) as pool:     # the folds are independent chains of small jobs
+        return pool.map(inheritable_thread_target(train.sparkSession)(one), range(k), 1)
 
-def predict_calibrated(pairs, df: DataFrame, key: str = "user_id", out: str = "p_calibrated") -> DataFrame:
+
+def predict_calibrated(pairs, df: DataFrame, key: str = "user_id", out: str = "p_calibrated",
+                       raw: str | None = None) -> DataFrame:
     """Mean of the calibrated probabilities; every model is applied to the
-    same frame in one pass, so no join is needed (``key`` is kept for callers)."""
+    same frame in one pass, so no join is needed (``key`` is kept for callers).
+    ``raw`` names a column for the mean of the uncalibrated ones."""
     scored = df
     for i, (base, platt) in enumerate(pairs):
-        m = _margin(base.transform(scored)).drop("rawPrediction", "probability", "prediction")
+        m = (_margin(base.transform(scored)).withColumn(f"__r{i}", vector_to_array("probability")[1])
+             .drop("rawPrediction", "probability", "prediction"))
         x = VectorAssembler(inputCols=["__m"], outputCol="__mv").transform(m)
         scored = (platt.transform(x).withColumn(f"__p{i}", vector_to_array("probability")[1])
                        .drop("__m", "__mv", "rawPrediction", "probability", "prediction"))
-    mean = sum((F.col(f"__p{i}") for i in range(len(pairs))), F.lit(0.0)) / float(len(pairs))
-    return scored.withColumn(out, mean).drop(*[f"__p{i}" for i in range(len(pairs))])
+    for name, mark in [(out, "__p"), (raw, "__r")]:
+        if name:
+            mean = sum((F.col(f"{mark}{i}") for i in range(len(pairs))), F.lit(0.0)) / float(len(pairs))
+            scored = scored.withColumn(name, mean)
+    return scored.drop(*[f"{m}{i}" for i in range(len(pairs)) for m in ("__p", "__r")])

@@ -3,9 +3,6 @@ Spark ML fits, tuning, calibration and run table (row checks)."""
 
 from __future__ import annotations
 
-import json
-
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnlake.ml import calibrate as CAL
@@ -19,8 +16,7 @@ from churnlake.plans import training as TR
 from churnlake.plans.domain import Domain
 from churnlake.plans.q_domain import P
 from churnlake.plans.registry import query
-from churnlake.session import shared_path
-from churnlake.sources import io
+from churnlake.session import cut_lineage
 
 _SPLIT_SQL = """
   spl AS (
@@ -88,53 +84,65 @@ def q_random_search_cv(spark, sf_dir):
     """E7 for the logistic model: the 18 distinct points of its space (the
     reference asks for 30 draws of a grid this size), 5 stratified folds,
     average precision; class_weight switches the weight column."""
-    d = TR.prepared(spark, sf_dir)
-    train = d.where(F.col("split") == "train")
-    n_fit = train.count() * (TR.CV_FOLDS - 1) / TR.CV_FOLDS
-    est = ML.logistic(weight_col="w_none")
-    space = {"regParam": [1.0 / (c * n_fit) for c in TR.LR_SPACE["C"]], "weightCol": ["w_none", "w_balanced"]}
-    _, res = TU.random_search_cv(est, space, train, TR.N_ITER, "fold", seed=P.seed, n_folds=TR.CV_FOLDS)
-    return res
+    return TR.search_logistic(TR.prepared(spark, sf_dir).where(F.col("split") == "train"))[1]
 
 
-def _val_scores(spark, sf_dir):
-    d = TR.prepared(spark, sf_dir)
-    train = d.where(F.col("split") == "train")
-    val = d.where(F.col("split") == "validation")
-    pairs = CAL.calibrate_sigmoid(train, lambda t: TR.fit_logistic(t), "cal_fold", TR.CAL_FOLDS)
-    return d, train, val, pairs
+@query("random_search_forest")
+def q_random_search_forest(spark, sf_dir):
+    """E7 for the forest: 30 draws, successive halving over the number of trees."""
+    return TR.search_forest(TR.prepared(spark, sf_dir).where(F.col("split") == "train"))[1]
 
 
-@query("calibrate_sigmoid")
-def q_calibrate_sigmoid(spark, sf_dir):
-    d, train, val, pairs = _val_scores(spark, sf_dir)
-    raw = ML.positive_probability(TR.fit_logistic(train).transform(val), "p_raw").select("user_id", "p_raw")
-    cal = CAL.predict_calibrated(pairs, val).select("user_id", "churned", "p_calibrated")
-    return cal.join(raw, "user_id")
+@query("random_search_boosted")
+def q_random_search_boosted(spark, sf_dir):
+    """E7 for the boosted model: 30 draws, successive halving over the number of trees."""
+    return TR.search_boosted(TR.prepared(spark, sf_dir).where(F.col("split") == "train"))[1]
 
 
-def _candidates(spark, sf_dir):
+@query("calibrate_sigmoid")
+def q_calibrate_sigmoid(spark, sf_dir):
+    """E8 for the three models: raw and calibrated probability of every validation row."""
     d = TR.prepared(spark, sf_dir)
-    train = d.where(F.col("split") == "train")
-    val = d.where(F.col("split") == "validation")
-    out = []
-    for order, (name, fit) in enumerate([("logistic", TR.fit_logistic), ("forest", TR.fit_forest),
-                                         ("boosted", TR.fit_boosted)]):
-        model = fit(train)
-        pv = ML.positive_probability(model.transform(val)).select(F.col("churned").alias("y"), "p")
-        out.append((order, name, model, pv))
-    return d, out
+    train, val = d.where(F.col("split") == "train"), d.where(F.col("split") == "validation")
+    out = None
+    for name, (fit, params, _) in TR.MODELS.items():
+        pairs = CAL.calibrate_sigmoid(train, lambda t: fit(t, params), "cal_fold", TR.CAL_FOLDS)
+        # the raw probability is the mean of the same three base models
+        x = CAL.predict_calibrated(pairs, val, raw="p_raw")
+        x = x.select("user_id", "churned", F.lit(name).alias("model"), "p_raw", "p_calibrated")
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 @query("select_model")
 def q_select_model(spark, sf_dir):
-    d, cands = _candidates(spark, sf_dir)
-    rows = []
-    for order, name, _, pv in cands:
-        ap = M.ranking_metrics(pv, digits=None).select("pr_auc").first()["pr_auc"]
-        rows.append((order, name, float(ap or 0.0)))
-    met = spark.createDataFrame(rows, "model_order int, model string, val_pr_auc double")
-    return TU.select_model(met)
+    """E9 over the calibrated models at their default parameters."""
+    return TU.select_model(TR.run_table(TR.prepared(spark, sf_dir)))
+
+
+# three given scorers on the validation rows; the third equals the first, so the earlier one wins
+_SCORERS = [("recency", "days_since_last_order"), ("coupons", "coupon_usage_rate"), ("recency_again", "days_since_last_order")]
+
+
+@query("select_by_validation", "WITH" + _SPLIT_SQL + ", x AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS model_order, '{n}' AS model, churned AS y, coalesce(CAST({f} AS DOUBLE), 0) AS p FROM spl WHERE split = 'validation'"
+    for i, (n, f) in enumerate(_SCORERS)) + """),
+  g AS (SELECT model_order, model, p, sum(y) AS pos, count(*) AS cnt FROM x GROUP BY ALL),
+  t AS (SELECT *, sum(pos) OVER w AS tp, sum(cnt) OVER w AS above,
+               sum(pos) OVER (PARTITION BY model) AS all_pos
+        FROM g WINDOW w AS (PARTITION BY model ORDER BY p DESC)),
+  m AS (SELECT model_order, model, round_even(sum(pos / all_pos * tp / above), 9) AS val_pr_auc FROM t GROUP BY ALL)
+  SELECT * FROM m ORDER BY val_pr_auc DESC, model_order LIMIT 1""", dbl=["val_pr_auc"], ints=["model_order"])
+def q_select_by_validation(spark, sf_dir):
+    """E9 on scores that SQL can state; rounded to nine digits, so that equal scorers tie."""
+    v = SP.stratified_split(Domain(spark, sf_dir, P).matrix, seed=P.seed).where(F.col("split") == "validation")
+    long = v.select(F.col("churned").alias("y"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("model_order"), F.lit(n).alias("model"),
+                 F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias("p"))
+        for i, (n, f) in enumerate(_SCORERS)])).alias("s")).select("y", "s.*")
+    met = M.ranking_metrics(long, digits=9, group_cols=["model_order", "model"])
+    return TU.select_model(met.select(F.col("model_order").cast("bigint").alias("model_order"), "model",
+                                      F.col("pr_auc").alias("val_pr_auc")))
 
 
 @query("feature_importance")
@@ -145,30 +153,9 @@ def q_feature_importance(spark, sf_dir):
 
 @query("model_run_table")
 def q_model_run_table(spark, sf_dir):
-    """One appended row per run (model, params, validation PR-AUC,
-    F1-optimal threshold, test metrics at it, split sizes, class balance),
-    stored as an append-only parquet table and read back."""
-    d = TR.prepared(spark, sf_dir)
-    train = d.where(F.col("split") == "train")
-    val = d.where(F.col("split") == "validation")
-    test = d.where(F.col("split") == "test")
-    sizes = {r["split"]: r["n"] for r in d.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos_share = train.agg(F.avg("churned")).first()[0]
-    path = shared_path(spark, "model_runs")
-    for name, fit, params in [("logistic", TR.fit_logistic, TR.LR_DEFAULTS), ("forest", TR.fit_forest, TR.RF_DEFAULTS)]:
-        model = fit(train)
-        pv = ML.positive_probability(model.transform(val)).select(F.col("churned").alias("y"), "p")
-        thr = M.optimal_threshold(pv).first()["optimal_threshold"]
-        pt = ML.positive_probability(model.transform(test)).select(F.col("churned").alias("y"), "p", "user_id")
-        cls = M.classification_metrics(pt.withColumn("pred", (F.col("p") >= thr).cast("int"))).first().asDict()
-        rk = M.ranking_metrics(pt).first().asDict()
-        val_ap = M.ranking_metrics(pv, digits=None).first()["pr_auc"]
-        row = {"model": name, "params": json.dumps(params, sort_keys=True), "val_pr_auc": float(val_ap),
-               "threshold": float(thr), **{k: float(v) if v is not None else None for k, v in {**cls, **rk}.items()},
-               "n_train": sizes.get("train", 0), "n_validation": sizes.get("validation", 0),
-               "n_test": sizes.get("test", 0), "positive_share": float(pos_share)}
-        spark.createDataFrame([row]).write.mode("append").parquet(path)
-    return io.read_parquet(spark, path)
+    """One appended row per run of the three calibrated models (parameters, validation
+    PR-AUC, F1-optimal threshold, test metrics at it, lift, split sizes, class balance)."""
+    return TR.run_table(TR.prepared(spark, sf_dir))
 
 
 def _leaky_frames(spark, sf_dir):
@@ -188,18 +175,28 @@ def q_leak_importance_share(spark, sf_dir):
     return J.leak_importance_share(ML.feature_importance(model, FEATURES + LEAKED), LEAKED)
 
 
+LEAK_TEST_FRAC = 0.3
+
+
 @query("leaky_vs_honest")
 def q_leaky_vs_honest(spark, sf_dir):
-    """Same split, same forest, two feature sets; test metrics side by
-    side (F10 shape)."""
-    d = _leaky_frames(spark, sf_dir)
-    rows = []
+    """One 70/30 split, the same forest (200 trees, depth 10, balanced) on two feature
+    sets; test metrics at each model's F1-optimal threshold side by side (F10 shape)."""
+    dom = Domain(spark, sf_dir, P)
+    s = SP.stratified_split(J.leaky_features(dom.subscriptions, dom.matrix, P), seed=P.seed,
+                            test_frac=LEAK_TEST_FRAC, val_frac=0.0)
+    s = cut_lineage(SP.with_weights(s, balanced=True, out="w_balanced", fit_on=s.where(F.col("split") == "train")))
+    met = None
     for name, cols in [("honest", FEATURES), ("leaky", FEATURES + LEAKED)]:
-        x = ML.assemble(d.drop("raw_features"), cols, "raw_features")
-        model = TR.fit_forest(x.where(F.col("split") == "train"))
-        pt = ML.positive_probability(model.transform(x.where(F.col("split") == "test"))) \
-            .select(F.col("churned").alias("y"), "p")
-        r = M.ranking_metrics(pt).first().asDict()
-        rows.append({"model": name, **{k: float(v) if v is not None else None for k, v in r.items()}})
-    met = spark.createDataFrame(rows)
+        x = ML.assemble(s, cols, "raw_features")
+        model = TR.fit_forest(x.where(F.col("split") == "train"), TR.RF_DEFAULTS | {"min_samples_leaf": 1})
+        pt = cut_lineage(ML.positive_probability(model.transform(x.where(F.col("split") == "test")))
+                         .select(F.col("churned").alias("y"), "p"))
+        best = M.optimal_threshold(pt, digits=None)
+        row = (M.ranking_metrics(pt).select("roc_auc", "pr_auc")
+               .join(best.select(F.bround("max_f1", 4).alias("f1_opt"), F.bround("precision_at_optimal", 4).alias("precision"),
+                                 F.bround("recall_at_optimal", 4).alias("recall"),
+                                 F.bround("optimal_threshold", 4).alias("optimal_threshold")))
+               .select(F.lit(name).alias("model"), "*"))
+        met = row if met is None else met.unionByName(row)
     return M.metric_comparison(met, "model", "honest", "leaky")
