@@ -87,18 +87,6 @@ def q_random_search_cv(spark, sf_dir):
     return TR.search_logistic(TR.prepared(spark, sf_dir).where(F.col("split") == "train"))[1]
 
 
-@query("random_search_forest")
-def q_random_search_forest(spark, sf_dir):
-    """E7 for the forest: 30 draws, successive halving over the number of trees."""
-    return TR.search_forest(TR.prepared(spark, sf_dir).where(F.col("split") == "train"))[1]
-
-
-@query("random_search_boosted")
-def q_random_search_boosted(spark, sf_dir):
-    """E7 for the boosted model: 30 draws, successive halving over the number of trees."""
-    return TR.search_boosted(TR.prepared(spark, sf_dir).where(F.col("split") == "train"))[1]
-
-
 @query("calibrate_sigmoid")
 def q_calibrate_sigmoid(spark, sf_dir):
     """E8 for the three models: raw and calibrated probability of every validation row."""
