@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.functions.stats import lit_value, one_row
+from churnlake.session import cut_lineage
 
 _G = "__grp"
 ROWS_PER_RANGE = 500_000
@@ -120,13 +121,14 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
 
     Linear interpolation between the order statistics at floor/ceil of
     ``q * (n - 1)``.  NULL values are ignored; a group without values gives no
-    rows.  ``weight_col`` gives pre-aggregated counts per row.
+    rows.  ``weight_col`` gives pre-aggregated counts per row.  The counts
+    are written once: the prefix sums read them several times.
     """
     df, gcols = _group_cols(df, group_cols)
-    counts = (df.where(F.col(value_col).isNotNull())
-                .groupBy(*gcols, F.col(value_col).cast("double").alias("__v"))
-                .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("__n"))
-                .where(F.col("__n") > 0))
+    counts = cut_lineage(df.where(F.col(value_col).isNotNull())
+                         .groupBy(*gcols, F.col(value_col).cast("double").alias("__v"))
+                         .agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("__n"))
+                         .where(F.col("__n") > 0))
     cum = prefix_sums(counts, "__v", ["__n"], gcols, rows_per_range=rows_per_range)
     totals = counts.groupBy(*gcols).agg(F.sum("__n").alias("__total"))
     cum = (cum.alias("c").join(totals.alias("t"), same_group("c", "t", gcols)).select("c.*", "t.__total"))

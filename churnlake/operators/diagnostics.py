@@ -147,7 +147,10 @@ def extreme_users(scored: DataFrame, p: str = "p", key: str = "user_id", n: int
 
 def score_histogram(scored: DataFrame, flag: str, p: str = "p", bins: int = 20) -> DataFrame:
     """Equal-width bins over each flag value's own score range;
-    density = count / (n * width)."""
+    density = count / (n * width). The scores are written once: the ranges
+    and the bins read them."""
+    from churnlake.session import cut_lineage
+    scored = cut_lineage(scored.select(flag, p))
     rng = scored.groupBy(flag).agg(F.min(p).alias("lo"), F.max(p).alias("hi"), F.count(F.lit(1)).alias("n"))
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0 / bins))
     b = F.least(F.floor((F.col(p) - F.col("lo")) / width), F.lit(bins - 1)).cast("bigint")

@@ -12,6 +12,7 @@ from churnlake.plans.domain import Domain
 from churnlake.plans.q_domain import P
 from churnlake.plans.q_scoring import DEMO_COEFFICIENTS, DEMO_INTERCEPT, _scoring_sql
 from churnlake.plans.registry import query
+from churnlake.session import cut_lineage
 
 _SNAP = "TIMESTAMP '2001-06-01 00:00:00'"
 _LEAK_SQL = f"""
@@ -36,11 +37,17 @@ def _leak(spark, sf_dir):
     return J.leaky_features(d.subscriptions, d.matrix.select("user_id", "churned"), P)
 
 
-def _scores(spark, sf_dir):
+def _scores(spark, sf_dir, with_leak=False):
+    """Scored users, with the leaked columns on request; the matrix is written
+    once, since the scaler, the scores and the leak join all read it."""
     d = Domain(spark, sf_dir, P)
-    m = d.matrix
+    m = cut_lineage(d.matrix)
     s = S.linear_score(S.standardized(m, S.scaler_stats(m)), DEMO_COEFFICIENTS, DEMO_INTERCEPT)
-    return s.select("user_id", "churned", F.col("churn_probability_raw").alias("p"))
+    s = s.select("user_id", "churned", F.col("churn_probability_raw").alias("p"))
+    if with_leak:
+        leak = J.leaky_features(d.subscriptions, m.select("user_id", "churned"), P)
+        s = s.join(leak.select("user_id", "is_sub_active"), "user_id")
+    return s
 
 
 def _scores_sql(select: str) -> str:
@@ -154,13 +161,11 @@ def q_extreme_users(spark, sf_dir):
           FROM sc s2 JOIN leak l2 USING (user_id) GROUP BY l2.is_sub_active) r USING (is_sub_active))
   GROUP BY is_sub_active, bin, lo, width"""), dbl=["bin_start", "density"])
 def q_score_histogram(spark, sf_dir):
-    s = _scores(spark, sf_dir).join(_leak(spark, sf_dir).select("user_id", "is_sub_active"), "user_id")
-    return J.score_histogram(s, "is_sub_active")
+    return J.score_histogram(_scores(spark, sf_dir, with_leak=True), "is_sub_active")
 
 
 @query("mean_score_by_flag", _scores_sql(
     "SELECT l.is_sub_active, avg(s.p) AS mean_p, count(*) AS n FROM sc s JOIN leak l USING (user_id) "
     "GROUP BY l.is_sub_active"), dbl=["mean_p"])
 def q_mean_score_by_flag(spark, sf_dir):
-    s = _scores(spark, sf_dir).join(_leak(spark, sf_dir).select("user_id", "is_sub_active"), "user_id")
-    return J.mean_score_by_flag(s, "is_sub_active")
+    return J.mean_score_by_flag(_scores(spark, sf_dir, with_leak=True), "is_sub_active")

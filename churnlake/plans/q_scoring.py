@@ -13,6 +13,7 @@ from churnlake.params import FEATURES
 from churnlake.plans.domain import Domain
 from churnlake.plans.q_domain import P
 from churnlake.plans.registry import query
+from churnlake.session import cut_lineage
 
 # Demo model (query parameters, not fitted): one coefficient per feature
 # in FEATURES order, over standardised values.
@@ -27,12 +28,12 @@ def _matrix(spark, sf_dir):
 
 
 def _scored(spark, sf_dir, explain=False):
-    m = _matrix(spark, sf_dir)
+    m = cut_lineage(_matrix(spark, sf_dir))     # read by the scaler and by the scores
     return S.batch_score(m, S.scaler_stats(m), DEMO_COEFFICIENTS, DEMO_INTERCEPT, DEMO_THRESHOLD, explain)
 
 
 def _contrib(spark, sf_dir):
-    m = _matrix(spark, sf_dir)
+    m = cut_lineage(_matrix(spark, sf_dir))
     return S.linear_score(S.standardized(m, S.scaler_stats(m)), DEMO_COEFFICIENTS, DEMO_INTERCEPT)
 
 

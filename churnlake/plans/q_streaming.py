@@ -12,6 +12,7 @@ from churnlake.plans.q_domain import P
 from churnlake.plans.q_scoring import DEMO_COEFFICIENTS, DEMO_INTERCEPT, DEMO_THRESHOLD, _range_sql, \
     _BUSINESS_SQL, _scoring_sql
 from churnlake.plans.registry import query
+from churnlake.session import cut_lineage
 from churnlake.sources.adapters import request_log
 from churnlake.streaming import alerts as K
 
@@ -70,7 +71,7 @@ def q_sustained_alert(spark, sf_dir):
 def q_stream_score(spark, sf_dir):
     """K5 batch form: quarantine split, then scoring of the valid rows with
     the scaler fitted on the whole batch."""
-    m = Domain(spark, sf_dir, P).matrix
+    m = cut_lineage(Domain(spark, sf_dir, P).matrix)
     stats = S.scaler_stats(m)
     valid, _ = Q.quarantine_split(m)
     return S.batch_score(valid, stats, DEMO_COEFFICIENTS, DEMO_INTERCEPT, DEMO_THRESHOLD) \
