@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.prefix import prefix_sums
 from churnlake.functions.stats import one_row
+from churnlake.session import cut_lineage
 
 
 def hash_order(key: str, seed: int) -> Column:
@@ -24,8 +25,9 @@ def hash_order(key: str, seed: int) -> Column:
 
 def class_ranks(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
     """Adds ``__rank`` (1-based position of the row inside its class in hash
-    order) and ``__n_class``."""
-    x = df.withColumn("__h", hash_order(key, seed)).withColumn("__one", F.lit(1))
+    order) and ``__n_class``. The rows are written once: the row count, the
+    ranges, their totals and the ranks all read them."""
+    x = cut_lineage(df.withColumn("__h", hash_order(key, seed)).withColumn("__one", F.lit(1)))
     ranked = prefix_sums(x, "__h", ["__one"], [label]).withColumnRenamed("cum___one", "__rank")
     sizes = x.groupBy(label).agg(F.count(F.lit(1)).alias("__n_class"))
     return ranked.join(F.broadcast(sizes), label).drop("__h", "__one")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from churnlake.functions.columns import round_half_even
 from churnlake.functions.prefix import prefix_sums
 from churnlake.functions.stats import one_row
+from churnlake.session import cut_lineage
 
 
 def score_counts(df: DataFrame, y: str = "y", p: str = "p", group_cols: Sequence[str] = ()) -> DataFrame:
@@ -28,8 +29,9 @@ def score_counts(df: DataFrame, y: str = "y", p: str = "p", group_cols: Sequence
 
 def threshold_table(df: DataFrame, y: str = "y", p: str = "p", group_cols: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score (per group): pos, neg at that score and
-    tp, fp = positives / negatives with score >= it, plus class totals."""
-    sc = score_counts(df, y, p, group_cols)
+    tp, fp = positives / negatives with score >= it, plus class totals. The
+    counts per score are written once; the sums and totals read them."""
+    sc = cut_lineage(score_counts(df, y, p, group_cols))
     cum = prefix_sums(sc, "p", ["pos", "neg"], group_cols, descending=True)
     if group_cols:
         tot = sc.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
