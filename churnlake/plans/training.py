@@ -44,7 +44,7 @@ def prepared(spark, sf_dir, matrix: DataFrame | None = None) -> DataFrame:
     standardised features (train statistics), assembled vectors and the
     weight columns; checkpointed."""
     m = matrix if matrix is not None else Domain(spark, sf_dir, P).matrix
-    s = stratified_split(m, seed=P.seed)
+    s = cut_lineage(stratified_split(m, seed=P.seed))   # read by every fit of this function
     train = s.where(F.col("split") == "train")
     z = ML.standardize(train, {"all": s})["all"]
     z = ML.assemble(z, [f"z_{f}" for f in FEATURES], "features")
@@ -88,7 +88,9 @@ def search_logistic(train: DataFrame):
     """E7 for the logistic model: all 18 points on all folds. Returns (best parameters, results)."""
     n_fit = train.count() * (CV_FOLDS - 1) / CV_FOLDS
     space = {"regParam": [1.0 / (c * n_fit) for c in LR_SPACE["C"]], "weightCol": ["w_none", "w_balanced"]}
-    best, res = TU.random_search_cv(ML.logistic(weight_col="w_none"), space, train, N_ITER, "fold", seed=P.seed,
+    # the folds are cached: only the columns that fits and scores read
+    used = train.select("churned", "fold", "features", "w_none", "w_balanced")
+    best, res = TU.random_search_cv(ML.logistic(weight_col="w_none"), space, used, N_ITER, "fold", seed=P.seed,
                                     n_folds=CV_FOLDS)
     reg, weight = best.getRegParam(), best.getWeightCol()
     c = min(LR_SPACE["C"], key=lambda c: abs(1.0 / (c * n_fit) - reg))
