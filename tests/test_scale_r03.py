@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from churnlake.functions.prefix import exact_quantiles
+from churnlake.ml.split import stratified_split
 from churnlake.operators import quality as Q
+from churnlake.operators.diagnostics import score_histogram
+from churnlake.operators.metrics import threshold_table
 from churnlake.params import FEATURES
 
 
@@ -17,3 +21,21 @@ def test_quarantine_branches_read_the_judged_rows(spark):
     assert [r.user_id for r in valid.collect()] == [1]
     assert {r.rule: r.n_rows for r in Q.rule_counts(invalid).collect()} == {
         "age_min": 2, "orders_30_le_total": 2, "no_orders_no_recent": 1}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shared_steps_read_written_rows(spark):
+    df = spark.range(40).select(F.col("id").alias("user_id"), (F.col("id") % 2).alias("churned"), (F.col("id") / 40).alias("p"))
+    costly = df.groupBy("user_id", "churned").agg(F.max("p").alias("p"))
+    split = stratified_split(costly)
+    assert "max(" not in _plan(split)
+    assert {(r.churned, r.split): r["count"] for r in split.groupBy("churned", "split").count().collect()} == {
+        (c, s): n for c in (0, 1) for s, n in (("train", 12), ("validation", 4), ("test", 4))}
+    q = exact_quantiles(costly, "p", [0.5])
+    assert "max(" not in _plan(q) and [r.value for r in q.collect()] == [0.4875]
+    assert "max(" not in _plan(threshold_table(costly, "churned"))
+    h = score_histogram(costly, "churned", bins=2)
+    assert "Range (" not in _plan(h) and sum(r["count"] for r in h.collect()) == 40
