@@ -65,6 +65,29 @@ def same_group(left: str, right: str, cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
 
 
+def value_ranges(df: DataFrame, order_col: str, gcols: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
+                 accuracy: int = 10000) -> tuple[DataFrame, int, int]:
+    """(``df`` with ``__range``, number of ranges, number of groups): each group cut into value
+    ranges that rise with ``order_col``; equal values are in one range."""
+    size = one_row(df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.struct(*gcols)).alias("g")))
+    n_ranges = max(1, math.ceil(size["n"] / rows_per_range))
+    if n_ranges == 1:
+        return df.withColumn("__range", F.lit(0)), 1, size["g"]
+    keyed = df.withColumn("__key", range_key(order_col, df.schema[order_col].dataType))
+    fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
+    bounds = keyed.groupBy(*gcols).agg(
+        F.percentile_approx("__key", fracs, max(accuracy, 20 * n_ranges)).alias("__bounds"))
+    # number of bounds below the key, by binary search
+    steps = [1 << k for k in reversed(range(n_ranges.bit_length()))]
+    at = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda lo, x: F.when(
+        (lo + x <= F.size("__bounds")) & (F.get("__bounds", lo + x - 1) < F.col("__key")), lo + x).otherwise(lo))
+    ranged = (keyed.alias("k").join(_few(bounds, size["g"]).alias("b"), same_group("k", "b", gcols), "left")
+                   .select("k.*", "b.__bounds")
+                   .withColumn("__range", F.when(F.col("__key").isNull() | F.col("__bounds").isNull(), F.lit(-1)).otherwise(at))
+                   .drop("__bounds", "__key"))
+    return ranged, n_ranges, size["g"]
+
+
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
                 rows_per_range: int = ROWS_PER_RANGE, accuracy: int = 10000,
@@ -73,24 +96,8 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     group, any orderable type) within each group.  Adds ``{prefix}{c}``
     columns.  One job counts the rows and groups when the plan is built."""
     df, gcols = _group_cols(df, group_cols)
-    size = one_row(df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.struct(*gcols)).alias("g")))
-    n_ranges = max(1, math.ceil(size["n"] / rows_per_range))
+    ranged, n_ranges, groups = value_ranges(df, order_col, gcols, rows_per_range, accuracy)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if n_ranges == 1:
-        ranged = df.withColumn("__range", F.lit(0))
-    else:
-        keyed = df.withColumn("__key", range_key(order_col, df.schema[order_col].dataType))
-        fracs = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
-        bounds = keyed.groupBy(*gcols).agg(
-            F.percentile_approx("__key", fracs, max(accuracy, 20 * n_ranges)).alias("__bounds"))
-        # number of bounds below the key, by binary search
-        steps = [1 << k for k in reversed(range(n_ranges.bit_length()))]
-        at = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda lo, x: F.when(
-            (lo + x <= F.size("__bounds")) & (F.get("__bounds", lo + x - 1) < F.col("__key")), lo + x).otherwise(lo))
-        ranged = (keyed.alias("k").join(_few(bounds, size["g"]).alias("b"), same_group("k", "b", gcols), "left")
-                       .select("k.*", "b.__bounds")
-                       .withColumn("__range", F.when(F.col("__key").isNull() | F.col("__bounds").isNull(), F.lit(-1)).otherwise(at))
-                       .drop("__bounds", "__key"))
     totals = ranged.groupBy(*gcols, "__range").agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
     by_range = F.col("__range").desc() if descending else F.col("__range").asc()
     wr = Window.partitionBy(*gcols).orderBy(by_range).rowsBetween(Window.unboundedPreceding, -1)
@@ -102,7 +109,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if n_ranges == 1:       # one range: every offset is 0
         out = ranged.select(*keep, *[F.sum(c).over(wi).alias(f"{prefix}{c}") for c in sum_cols])
     else:
-        out = (ranged.alias("r").join(_few(offsets, size["g"] * n_ranges).alias("o"),
+        out = (ranged.alias("r").join(_few(offsets, groups * n_ranges).alias("o"),
                                       same_group("r", "o", [*gcols, "__range"]), "left")
                      .select("r.*", *[f"o.__off_{c}" for c in sum_cols])
                      .select(*keep, *[(F.sum(c).over(wi) + F.col(f"__off_{c}")).alias(f"{prefix}{c}")

@@ -15,10 +15,10 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.functions.prefix import exact_quantiles, prefix_sums
+from churnlake.functions.prefix import _few, exact_quantiles, prefix_sums, value_ranges
 from churnlake.params import MONITORED_FEATURES, Params
 
 EPS = 1e-10
@@ -199,48 +199,73 @@ def order_statistics(ref: DataFrame, cur: DataFrame, totals: DataFrame, qs: Sequ
     quantiles ``qs`` (two each, at floor and ceil of q (n - 1)) with the rows of the reference
     (rl, re) and of the batch (cl, ce) below and up to each.
 
-    An as-of merge: running counts of the reference, taken once whatever the number of batches,
-    are carried into the distinct values of all batches; every batch has its own running counts.
-    A pooled order statistic is either a value of the batch, known from its own row, or a value
-    that only the reference has, looked up by its rank there (rank buckets hold a bounded share of
-    the reference, so no feature is one key). ``ref`` (feature, value, n) and ``cur`` (batch...,
-    feature, value, n) are counts; ``totals`` has n_ref and n_cur, none 0, of each (batch, feature) asked for."""
+    One running count: the counts of both sides meet in value ranges of the feature, dealt out and
+    sorted once; those of the reference, taken once whatever the number of batches, are carried into
+    the values of all batches, and every batch has its own. A pooled order statistic is either a
+    value of the batch, known from its own row, or a value that only the reference has, looked up
+    by its rank there (rank buckets hold a bounded share of the reference, so no feature is one
+    key). ``ref`` (feature, value, n) and ``cur`` (batch..., feature, value, n) are counts;
+    ``totals`` has n_ref and n_cur, none 0, of each (batch, feature) asked for. ``k_both``: values
+    of the batch that the reference has."""
     from churnlake.session import cut_lineage
     g = [*batch_cols, "feature"]
     zero = F.lit(0).cast("bigint")
-    values = (ref.select("feature", "value", F.col("n").alias("n_ref"))
-              .unionByName(cur.select("feature", "value", zero.alias("n_ref")))
-              .groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")))
-    known = cut_lineage(prefix_sums(cut_lineage(values), "value", ["n_ref"], ["feature"]))
-    own = prefix_sums(cur, "value", ["n"], g).join(known, ["feature", "value"])
-    rows = _null_safe(own, totals.select(*g, F.col("n_ref").alias("m_ref"), F.col("n_cur").alias("m_cur")), g)
-    rows = cut_lineage(rows.select(*g, "value", "m_ref", "m_cur", (F.col("cum_n_ref") - F.col("n_ref")).alias("rl"), F.col("cum_n_ref").alias("re"),
-                                   (F.col("cum_n") - F.col("n")).alias("cl"), F.col("cum_n").alias("ce")))
+    both = (ref.select("feature", "value", F.lit(False).alias("__own"), F.col("n").alias("n_ref"), zero.alias("n"))
+            .unionByName(cur.select(*g, "value", F.lit(True).alias("__own"), zero.alias("n_ref"), "n"), allowMissingColumns=True))
+    ranged, _, _ = value_ranges(both, "value", ["feature"])
+    by_range = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut_lineage(ranged.groupBy(*g, "__own", "__range").agg(F.sum("n_ref").alias("n_ref"), F.sum("n").alias("n")))
+    before = (sizes.groupBy("feature", "__range").agg(F.sum("n_ref").alias("n_ref"))
+              .select("feature", "__range", F.coalesce(F.sum("n_ref").over(by_range.partitionBy("feature")), zero).alias("off_ref")))
+    own_before = (sizes.where("__own").select(*g, "__range", F.coalesce(F.sum("n").over(by_range.partitionBy(*g)), zero).alias("off")))
+    # the ranges of a feature are dealt out once: the windows below are within (feature, range)
+    at = Window.partitionBy("feature", "__range")
+    rows = ranged.select(*g, "value", "__own", "n", "__range",
+                         F.sum("n_ref").over(at.orderBy("value").rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("re"),
+                         F.sum("n_ref").over(Window.partitionBy("feature", "__range", "value")).alias("n_ref")) \
+        .withColumn("ce", F.sum("n").over(Window.partitionBy("feature", "__range", "__own", *batch_cols).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
+    rows = cut_lineage(rows)
+    few = sizes.count()
+    known = (rows.where("not __own").join(_few(before, few), ["feature", "__range"])
+             .select("feature", "value", "n_ref", (F.col("re") + F.col("off_ref")).alias("cum_n_ref")))
+    rows = rows.where("__own").join(_few(before, few), ["feature", "__range"])
+    rows = _null_safe(rows, _few(own_before, few), [*g, "__range"])
+    rows = _null_safe(rows, _few(totals.select(*g, F.col("n_ref").alias("m_ref"), F.col("n_cur").alias("m_cur")), few), g)
+    re, ce = F.col("re") + F.col("off_ref"), F.col("ce") + F.col("off")
+    rows = rows.select(*g, "__range", "value", "m_ref", "m_cur", (re - F.col("n_ref")).alias("rl"), re.alias("re"),
+                       (ce - F.col("n")).alias("cl"), ce.alias("ce"))
     rl, re, cl, ce, m, n = (F.col(c) for c in ("rl", "re", "cl", "ce", "m_ref", "m_cur"))
+    ends = cut_lineage(rows.groupBy(*g, "__range").agg(
+        F.max(F.greatest(F.abs(re / m - ce / n), F.abs(rl / m - cl / n))).alias("d"), F.count_if(rl < re).alias("k"),
+        F.max(re + ce).alias("last"), F.max("m_ref").alias("m_ref"), F.max("m_cur").alias("m_cur")))
+    per = cut_lineage(ends.groupBy(*g).agg(F.max("d").alias("ks_statistic"), F.sum("k").alias("k_both"),
+                                           F.max("m_ref").alias("m_ref"), F.max("m_cur").alias("m_cur")))
     position = [F.lit(float(q)) * (m + n - 1) for q in qs]
     rank = [r for p in position for r in (F.floor(p), F.ceil(p))]
-    per = rows.groupBy(*g).agg(
-        F.max(F.greatest(F.abs(re / m - ce / n), F.abs(rl / m - cl / n))).alias("ks_statistic"), F.max("m_ref").alias("m_ref"), F.max("m_cur").alias("m_cur"),
-        *[F.coalesce(F.max(F.when(re + ce <= r, ce)), zero).alias(f"k{j}") for j, r in enumerate(rank)])
-    per = cut_lineage(per)
-    each = per.select(*g, "m_ref", F.explode(F.array(*[
-        F.struct(F.lit(j).alias("j"), r.alias("r"), F.col(f"k{j}").alias("k")) for j, r in enumerate(rank)])).alias("x")).select(*g, "m_ref", "x.*")
-    hits = (rows.select(*g, F.struct(F.col("value").alias("v"), "rl", "re", "cl", "ce").alias("s"), F.explode(F.filter(
-        F.array(*[F.when((rl + cl <= r) & (r < re + ce), F.lit(j)) for j, r in enumerate(rank)]), lambda x: x.isNotNull())).alias("j")))
-    each = _null_safe(each, hits, [*g, "j"], "left")
+    each = per.select(*g, "m_ref", "m_cur", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("j"), r.alias("r")) for j, r in enumerate(rank)])).alias("x")).select(*g, "m_ref", "m_cur", "x.*")
+    # the first value of the batch whose pooled running count exceeds a rank is sought in one range only
+    each = cut_lineage(_null_safe(each, ends.select(*g, "__range", "last"), g)
+                       .groupBy(*g, "m_ref", "m_cur", "j", "r").agg(F.min(F.when(F.col("last") > F.col("r"), F.col("__range"))).alias("__range")))
+    sought = each.where(F.col("__range").isNotNull()).select(*g, "__range", "j", "r")
+    first = (_null_safe(rows.drop("m_ref", "m_cur"), _few(sought, each.count()), [*g, "__range"]).where(re + ce > F.col("r"))
+             .groupBy(*g, "j").agg(F.min(F.struct((re + ce).alias("at"), F.col("value").alias("v"), "rl", "re", "cl", "ce")).alias("s")))
+    each = _null_safe(each.drop("__range"), first, [*g, "j"], "left").withColumn("k", F.coalesce("s.cl", "m_cur"))
+    each = cut_lineage(each.withColumn("s", F.when(F.col("s.rl") + F.col("s.cl") <= F.col("r"), F.struct("s.v", "s.rl", "s.re", "s.cl", "s.ce"))))
     width = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("m_ref") / RANK_BUCKETS))
     asked = each.where(F.col("s").isNull()).drop("s").withColumn("t", F.col("r") - F.col("k")).withColumn("bucket", F.floor(F.col("t") / width))
+    asked = cut_lineage(asked)
     size = ref.groupBy("feature").agg(F.sum("n").alias("m_ref"))  # a row per feature
     held = (known.where("n_ref > 0").join(F.broadcast(size), "feature")
             .select("feature", "value", "n_ref", "cum_n_ref", F.explode(F.sequence(
                 F.floor((F.col("cum_n_ref") - F.col("n_ref")) / width), F.floor((F.col("cum_n_ref") - 1) / width))).alias("bucket")))
-    found = (asked.join(held, ["feature", "bucket"])
+    found = (held.join(_few(asked, asked.count()), ["feature", "bucket"])
              .where((F.col("t") >= F.col("cum_n_ref") - F.col("n_ref")) & (F.col("t") < F.col("cum_n_ref")))
              .select(*g, "j", F.struct(F.col("value").alias("v"), (F.col("cum_n_ref") - F.col("n_ref")).alias("rl"),
                                        F.col("cum_n_ref").alias("re"), F.col("k").alias("cl"), F.col("k").alias("ce")).alias("s")))
     both = each.where(F.col("s").isNotNull()).select(*g, "j", "s").unionByName(found)
     stats = both.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("j", "s"))).alias("stats"))  # two per quantile
-    return _null_safe(per.select(*g, "ks_statistic"), stats, g, "left")
+    return _null_safe(per.select(*g, "ks_statistic", "k_both"), stats, g, "left")
 
 
 def edges_of_statistics(stats: Column, n_ref: Column, n_cur: Column, qs: Sequence[float]) -> Column:
@@ -296,17 +321,17 @@ def column_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str] | None
     rc = cut_lineage(_long(ref, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
     cc = cut_lineage(_long(cur, features, batch_cols).groupBy(*g, "value").agg(F.count(F.lit(1)).alias("n")))
     ref_size = rc.groupBy("feature").agg(F.sum("n").alias("n_ref"), F.count(F.lit(1)).alias("k_ref"))
-    # values that both sides have are met in the batch
-    common = cc.join(rc.select("feature", "value", F.lit(1).alias("in_ref")), ["feature", "value"], "left")
-    cur_size = common.groupBy(*g).agg(F.sum("n").alias("n_cur"), F.count(F.lit(1)).alias("k_cur"), F.count("in_ref").alias("k_both"))
+    cur_size = cc.groupBy(*g).agg(F.sum("n").alias("n_cur"), F.count(F.lit(1)).alias("k_cur"))
     joined = cur_size.join(ref_size, "feature", "left" if batch_cols else "full")
     zero = F.lit(0).cast("bigint")
-    summ = cut_lineage(joined.select(*g, *[F.coalesce(c, zero).alias(c) for c in ("n_ref", "n_cur")],
-                                     (F.coalesce("k_ref", zero) + F.coalesce("k_cur", zero) - F.coalesce("k_both", zero)).alias("n_unique")))
+    sides = cut_lineage(joined.select(*g, *[F.coalesce(c, zero).alias(c) for c in ("n_ref", "n_cur", "k_ref", "k_cur")]))
     few = (F.col("n_ref") < params.min_samples) | (F.col("n_cur") < params.min_samples)
-    cat = F.col("n_unique") <= params.categorical_max_distinct
     qs = [i / 10 for i in range(11)]
-    os_ = order_statistics(rc, cc, summ.where(~few & ~cat), qs, batch_cols)
+    os_ = order_statistics(rc, cc, sides.where(~few), qs, batch_cols)
+    # a side too small for a test has no count of the values that both have: none is needed
+    summ = cut_lineage(_null_safe(sides, os_, g, "left")
+                       .withColumn("n_unique", F.col("k_ref") + F.col("k_cur") - F.coalesce("k_both", zero)).drop("k_ref", "k_cur", "k_both"))
+    cat = F.col("n_unique") <= params.categorical_max_distinct
     # at most five values: the counts of these features are a few rows
     cats = summ.where(~few & cat).select(*g)
     small = rc.join(ref_size.where(F.col("k_ref") <= params.categorical_max_distinct).select("feature"), "feature", "left_semi")
@@ -314,7 +339,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, features: Sequence[str] | None
               .unionByName(_null_safe(cc, cats.withColumn("__cat", F.lit(True)), g).select(*g, "value", zero.alias("n_ref"), F.col("n").alias("n_cur")))
               .groupBy(*g, "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
     ch = chi_square_test(counts, batch_cols)
-    j = _null_safe(_null_safe(summ, os_, g, "left"), ch, g, "left")
+    j = _null_safe(summ, ch, g, "left")
     # one row per (batch, feature): the edges are computed once
     j = cut_lineage(j.withColumn("edges", edges_of_statistics(F.col("stats"), F.col("n_ref"), F.col("n_cur"), qs)).drop("stats"))
     j = j.withColumn("ks_pvalue", F.when(~few & ~cat, ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")))) \
@@ -363,7 +388,6 @@ def drift_history(reports: DataFrame, ts_col: str, params: Params = Params()) ->
 def latest_reference(versions: DataFrame, keep: int = 3, version_col: str = "ref_version") -> DataFrame:
     """H2: per stored reference version: rows, newest flag, and whether
     retention keeps it (the ``keep`` newest)."""
-    from pyspark.sql import Window
     v = versions.groupBy(version_col).agg(F.count(F.lit(1)).alias("n_rows"))
     w = Window.orderBy(F.col(version_col).desc())   # one row per version: tiny
     return v.select(version_col, "n_rows", (F.dense_rank().over(w) == 1).alias("is_latest"),

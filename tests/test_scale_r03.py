@@ -39,3 +39,30 @@ def test_shared_steps_read_written_rows(spark):
     assert "max(" not in _plan(threshold_table(costly, "churned"))
     h = score_histogram(costly, "churned", bins=2)
     assert "Range (" not in _plan(h) and sum(r["count"] for r in h.collect()) == 40
+
+
+def test_drift_over_many_value_ranges(spark, monkeypatch):
+    """One running count of both sides, whatever the ranges: equal to counting by hand, a null batch included."""
+    import numpy as np
+
+    from churnlake.functions.prefix import value_ranges
+    from churnlake.operators import drift as DR
+
+    calls = []
+    monkeypatch.setattr(DR, "value_ranges", lambda df, c, g: calls.append(g) or value_ranges(df, c, g, rows_per_range=15))
+    rng = np.random.default_rng(4)
+    ref = [float(x) for x in rng.normal(0, 1, 150).round(1)]
+    batches = {1: [float(x) for x in rng.normal(0.4, 1, 70).round(1)], None: [50.0] * 3 + [float(x) for x in rng.normal(0, 2, 40).round(1)], 3: [1.0, 2.0]}
+    rc = spark.createDataFrame([(x,) for x in ref], "x double")
+    cc = spark.createDataFrame([(b, x) for b, xs in batches.items() for x in xs], "b int, x double")
+    got = {r.b: r for r in DR.column_drift(rc, cc, ["x"], batch_cols=["b"]).collect()}
+    assert calls == [["feature"]] and set(got) == set(batches) and got[3].test == "none"
+    for b in (1, None):
+        cur = batches[b]
+        at = sorted(set(ref + cur))
+        ks = max(abs(np.mean(np.array(ref) <= v) - np.mean(np.array(cur) <= v)) for v in at)
+        edges = np.unique(np.percentile(ref + cur, np.linspace(0, 100, 11)))
+        e, c = (np.histogram(s, bins=edges)[0] + 1e-10 for s in (ref, cur))
+        e, c = e / e.sum(), c / c.sum()
+        assert got[b].test == "ks" and abs(got[b].drift_score - ks) < 1e-4
+        assert abs(got[b].psi - float(((c - e) * np.log(c / e)).sum())) < 1e-9
