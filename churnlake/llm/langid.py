@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import sys
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, stored
+from .common import crc_mod, kept, make_room, stored
 
 #: Bound of the labelled sample: so many slices of so many characters per language.
 SAMPLE_DOCS, SAMPLE_CHARS = 128, 400
@@ -173,7 +172,7 @@ class Parser:
         return out
 
 
-@lru_cache(maxsize=2)
+@kept(2)
 def _parser(samples: str) -> Parser:
     return Parser(json.loads(samples))
 
@@ -234,15 +233,16 @@ def _pass(samples: str, n_keep: int, later: bool, last: bool):
     second (phrases of the two best languages so far) and symbols; a later pass gets those of
     the passes before. The last leaves out the text."""
     def run(batches):
+        make_room(_parser)
         p = _parser(samples)
         for b in batches:
-            texts = b.column(n_keep).to_pylist()
+            texts = b.column(n_keep)  # taken one by one: a batch may be tens of megabytes
             before = zip(*(b.column(n_keep + k).to_pylist() for k in (1, 2, 3))) if later else ((UNDECIDED, None, None) for _ in texts)
             out, i = [], 0
             while i < len(texts):
                 symbols, letters, size = [], [], 0
                 while i < len(texts) and (not symbols or size < SLAB_CHARS):
-                    s, has = p.encode(texts[i] or "")
+                    s, has = p.encode(texts[i].as_py() or "")
                     symbols.append(s)
                     letters.append(has)
                     size += len(s)

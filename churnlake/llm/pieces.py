@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slabs, utf8
+from .common import kept, make_room, slabs, utf8
 
 #: Score of one byte of a character that no piece has.
 BYTE_SCORE = -20.0
@@ -214,7 +214,7 @@ class _Memo(dict):
         return ids
 
 
-@lru_cache(maxsize=2)
+@kept(2)
 def _pieces(names: tuple, kinds: tuple) -> Pieces:
     return Pieces(list(names), list(kinds))
 
@@ -245,6 +245,7 @@ def encode(docs: DataFrame, model_file: str, ids: str = "ids") -> DataFrame:
     k = len(rows.columns) - 1
 
     def run(batches):
+        make_room(_pieces)
         p = _pieces(*voc.value)
         for b in batches:
             _, offs = utf8(b.column(k))
@@ -268,6 +269,7 @@ def decode(rows: DataFrame, model_file: str, ids: str = "ids", text: str = "deco
     out = "decoded_piece_text"
 
     def run(batches):
+        make_room(_pieces)
         p = _pieces(*voc.value)
         for b in batches:
             step = 256

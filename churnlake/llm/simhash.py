@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, keyed, stored
+from .common import LOWER_BYTES, keyed, make_room, stored
 from .graph import components
 
 #: Buckets of up to so many different fingerprints are joined pair by pair; larger
@@ -37,6 +37,7 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     text's ``width``-word shingles, repeats included. No word: 0; fewer words than
     ``width``: the whole sequence is the one shingle."""
     def run(batches):
+        make_room()
         for b in batches:
             out = np.array([_fingerprint(t.as_buffer().to_pybytes(), width, seed) for t in b.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out.view(np.int64))], ["doc_id", "text_key", "fp"])
