@@ -200,8 +200,9 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     return out
 
 
-def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | None = None) -> DataFrame:
-    """(keep columns..., lang_pred, score, rate): the whole text of every row is parsed.
+def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """(keep columns..., lang_pred, score, rate): the whole text (column ``text``) of every row is
+    parsed. A text among the kept columns is sent to the workers once.
 
     lang_pred: the language with the fewest phrases per character (ties: first by
     name); ``und`` if the text is null or has no letter, or nothing was learned.
@@ -209,16 +210,18 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | No
     rate: phrases per character of the winner."""
     keep = keep or ["doc_id"]
     langs = sorted(samples)
-    rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("parsed_text"))
-    kinds = rows.schema.fields[:len(keep)]
+    at = keep.index(text) if text in keep and isinstance(docs.schema[text].dataType, T.StringType) else len(keep)
+    own = [F.col(text).cast("string").alias("parsed_text")] if at == len(keep) else []
+    rows = docs.select(*[F.col(c) for c in keep], *own)
+    fields = rows.schema.fields
     starts = range(0, max(1, len(langs)), LANGS_A_PASS)
     for a in starts:
         last = a == starts[-1]
         some = json.dumps({x: samples[x] for x in langs[a:a + LANGS_A_PASS]}, sort_keys=True)
-        kind = T.StructType(kinds if last else [*kinds, T.StructField("parsed_text", T.StringType())])
+        kind = T.StructType(fields[:len(keep)] if last else list(fields))
         for name, of in (("lang_pred", T.StringType()), ("best", T.LongType()), ("second", T.LongType()), ("symbols", T.LongType())):
             kind = kind.add(name, of)
-        rows = rows.mapInArrow(_pass(some, len(keep), a > 0, last), kind)
+        rows = rows.mapInArrow(_pass(some, len(keep), a > 0, last, at), kind)
         if not last:
             rows = stored(rows, "languages")
     best, second = F.col("best") / F.col("symbols"), F.coalesce(F.col("second") / F.col("symbols"), F.lit(1.0))
@@ -228,19 +231,23 @@ def predict(docs: DataFrame, samples: dict[str, list[str]], keep: list[str] | No
                        F.when(found, best).otherwise(1.0).alias("rate"))
 
 
-def _pass(samples: str, n_keep: int, later: bool, last: bool):
-    """Parses the texts (column ``n_keep``) against some languages. Adds lang_pred, best and
-    second (phrases of the two best languages so far) and symbols; a later pass gets those of
-    the passes before. The last leaves out the text."""
+def _pass(samples: str, n_keep: int, later: bool, last: bool, at: int | None = None):
+    """Parses the texts (column ``at``: one of the ``n_keep`` kept ones, or the one after them)
+    against some languages. Adds lang_pred, best and second (phrases of the two best languages
+    so far) and symbols; a later pass gets those of the passes before. The last leaves out what
+    is not kept. The rows go on in batches of about SLAB_CHARS characters."""
+    at = n_keep if at is None else at
+    n_in = max(n_keep, at + 1)
+
     def run(batches):
         make_room(_parser)
         p = _parser(samples)
         for b in batches:
-            texts = b.column(n_keep)  # taken one by one: a batch may be tens of megabytes
-            before = zip(*(b.column(n_keep + k).to_pylist() for k in (1, 2, 3))) if later else ((UNDECIDED, None, None) for _ in texts)
-            out, i = [], 0
+            texts = b.column(at)  # taken one by one: a batch may be tens of megabytes
+            before = zip(*(b.column(n_in + k).to_pylist() for k in (0, 1, 2))) if later else ((UNDECIDED, None, None) for _ in texts)
+            i = 0
             while i < len(texts):
-                symbols, letters, size = [], [], 0
+                symbols, letters, size, out, first_row = [], [], 0, [], i
                 while i < len(texts) and (not symbols or size < SLAB_CHARS):
                     s, has = p.encode(texts[i].as_py() or "")
                     symbols.append(s)
@@ -260,20 +267,26 @@ def _pass(samples: str, n_keep: int, later: bool, last: bool):
                         others += [int(np.delete(row, k).min())] if len(row) > 1 else []
                         best, second = first, min(others, default=None)
                     out.append((pred, best, second, len(s)))
-            cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.int64()))] if out else [pa.array([], t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int64())]
-            names = b.schema.names[:n_keep] + ([] if last else ["parsed_text"])
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], *cols], names=[*names, "lang_pred", "best", "second", "symbols"])
+                cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.int64()))]
+                names = b.schema.names[:n_keep if last else n_in]
+                part = b.slice(first_row, i - first_row).columns[:len(names)]
+                yield pa.RecordBatch.from_arrays([*part, *cols], names=[*names, "lang_pred", "best", "second", "symbols"])
 
     return run
 
 
-def _own_rate(item: tuple[str, list[str]]) -> tuple[str, float]:
-    """(lang, rate): phrases per character that one half of a language's slices takes in the other half (1 if there is one)."""
-    lang, slices = item
+def _own_rate(lang: str, slices: list[str]) -> float:
+    """Phrases per character that one half of a language's slices takes in the other half (1 if there is one)."""
     slices = list(dict.fromkeys(slices))
     p = Parser({lang: slices[::2]})
     symbols = [p.encode(t)[0] for t in slices[1::2]]
-    return lang, int(p.phrases(symbols).sum()) / sum(map(len, symbols)) if symbols else 1.0
+    return int(p.phrases(symbols).sum()) / sum(map(len, symbols)) if symbols else 1.0
+
+
+def _own_rates(batches):
+    for b in batches:
+        langs = b.column(0).to_pylist()
+        yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "rate": pa.array(map(_own_rate, langs, b.column(1).to_pylist()), pa.float64())})
 
 
 def bounds(spark: SparkSession, samples: dict[str, list[str]], most: float = MOST_PHRASES) -> dict[str, float]:
@@ -282,8 +295,11 @@ def bounds(spark: SparkSession, samples: dict[str, list[str]], most: float = MOS
     most half way from it to 1, the rate of a text without any known letter."""
     if not samples:
         return {}
-    own = spark.sparkContext.parallelize(sorted(samples.items()), len(samples)).map(_own_rate).collect()
-    high = {lang: min(1.25 * r, (1 + r) / 2) for lang, r in own if r < 1}
+    # an Arrow table, not an RDD: RDD tasks have Python workers of their own beside those of DataFrames
+    langs = sorted(samples)
+    table = pa.table({"lang": pa.array(langs, pa.string()), "slices": pa.array([samples[x] for x in langs], pa.list_(pa.string()))})
+    own = spark.createDataFrame(table).mapInArrow(_own_rates, "lang string, rate double").collect()
+    high = {r["lang"]: min(1.25 * r["rate"], (1 + r["rate"]) / 2) for r in own if r["rate"] < 1}
     return {lang: x for lang, x in high.items() if x > most}
 
 
@@ -293,8 +309,7 @@ def identified(docs: DataFrame, samples: dict[str, list[str]] | None = None, mos
     ``bounds``). Nothing learned: no row goes but those without a letter."""
     samples = learn(docs) if samples is None else samples
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
-    out = predict(rows, samples or {"any": []}, names)
+    out = predict(docs.toDF(*names), samples or {"any": []}, names, names[docs.columns.index("text")])
     if samples:
         own = [F.lit(x) for pair in sorted(bounds(docs.sparkSession, samples, most).items()) for x in pair]
         high = F.coalesce(F.create_map(*own)[F.col("lang_pred")], F.lit(most)) if own else F.lit(most)

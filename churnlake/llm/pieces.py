@@ -165,8 +165,8 @@ class Pieces:
             at = back[at]
         return [x for piece in reversed(out) for x in piece]
 
-    def encode_raw(self, text: str) -> bytes:
-        """The ids as 32-bit integers, one after another."""
+    def encode_raw(self, text: str | None) -> bytes:
+        """The ids as 32-bit integers, one after another; none for a null text."""
         return b"".join(map(self.memo.__getitem__, self.segments(" " + text))) if text else b""
 
     def encode(self, text: str) -> list[int]:
@@ -241,8 +241,9 @@ def encode(docs: DataFrame, model_file: str, ids: str = "ids") -> DataFrame:
     spark = docs.sparkSession
     voc = _shared(spark, model_file)
     out = "encoded_piece_ids"
-    rows = docs.withColumn(out, F.coalesce(F.col("text").cast("string"), F.lit("")))
-    k = len(rows.columns) - 1
+    n, places = len(docs.columns), [i for i, f in enumerate(docs.schema.fields) if f.name == "text" and isinstance(f.dataType, T.StringType)]
+    # a string column is sent to the workers once; another kind is cast into a last column
+    rows, k = (docs, places[0]) if len(places) == 1 else (docs.withColumn(out, F.col("text").cast("string")), n)
 
     def run(batches):
         make_room(_pieces)
@@ -254,10 +255,10 @@ def encode(docs: DataFrame, model_file: str, ids: str = "ids") -> DataFrame:
                 each = [p.encode_raw(t) for t in part.column(k).to_pylist()]
                 ends = np.cumsum([0, *(len(x) // 4 for x in each)])
                 flat = np.frombuffer(b"".join(each), np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns[:k], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                                                 names=[*b.schema.names[:k], out])
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                                                 names=[*b.schema.names[:n], out])
 
-    schema = T.StructType(rows.schema.fields[:-1]).add(out, T.ArrayType(T.IntegerType()))
+    schema = T.StructType(docs.schema.fields[:n]).add(out, T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(run, schema).drop(ids).withColumnRenamed(out, ids)
 
 

@@ -34,8 +34,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the piece ids of the whole text, and whether they decode to it exactly."""
-    back = pieces.decode(pieces.encode(docs, TOKENIZER, "piece_ids"), TOKENIZER, "piece_ids", "piece_text")
+    """Adds the piece ids of the whole text, and whether they decode to it exactly. The ids are
+    written between: coding and decoding in one task would take two Python workers for each core,
+    which Spark keeps and deals all later tasks out to."""
+    coded = stored(pieces.encode(docs, TOKENIZER, "piece_ids"), "pipeline-piece-ids")
+    back = pieces.decode(coded, TOKENIZER, "piece_ids", "piece_text")
     return (back.withColumn("n_piece_ids", F.size("piece_ids").cast("long"))
             .withColumn("round_trip", F.col("piece_text") == F.coalesce("text", F.lit(""))).drop("piece_text"))
 
