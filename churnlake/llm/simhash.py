@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, keyed, make_room, stored
+from .common import LOWER_BYTES, dealt, keyed, make_room, stored
 from .graph import components
 
 #: Buckets of up to so many different fingerprints are joined pair by pair; larger
@@ -65,9 +65,9 @@ def links(fps: DataFrame, bits: int = 2) -> DataFrame:
                 .select("fp", "slot", (F.shiftleft(F.col("slot").cast("long"), 32)
                                        .bitwiseOR(seg.bitwiseAND(wipe))).alias("key")))
     sizes = variants.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stored(variants.join(sizes, "key"), "simhash-buckets")
+    shared = stored(dealt(variants).join(sizes, "key"), "simhash-buckets")
     small = shared.filter(F.col("size") <= PAIR_BUCKET).select("key", "fp")
-    pairs = (small.select("key", F.col("fp").alias("a")).join(small.select("key", F.col("fp").alias("b")), "key")
+    pairs = (dealt(small.select("key", F.col("fp").alias("a"))).join(small.select("key", F.col("fp").alias("b")), "key")
              .filter(F.col("a") < F.col("b")).filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits)
              .select("a", "b"))
     large = shared.filter(F.col("size") > PAIR_BUCKET)
@@ -106,7 +106,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 2, seed: int =
     placed = _groups(own, bits).join(first, "fp")
     lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     member = placed.join(lowest, "root").select("fp", "component_id")
-    return (own.join(member, "fp")
+    return (dealt(own).join(member, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
