@@ -9,6 +9,8 @@ counts, so a class holding most rows is still spread over many tasks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from churnlake.functions.prefix import prefix_sums
 from churnlake.functions.stats import one_row
 from churnlake.session import cut_lineage
 
+#: Rows that one task of a forest fit takes.
+ROWS_PER_FIT_TASK = 30_000
+
 
 def hash_order(key: str, seed: int) -> Column:
     """First 60 bits of md5('<id>|<seed>') as a bigint."""
@@ -73,3 +78,11 @@ def with_weights(df: DataFrame, label: str = "churned", balanced: bool = True, p
         return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(pos_factor))).otherwise(1.0))
     w = class_weights(df if fit_on is None else fit_on, label, pos_factor).select(label, F.col("weight").alias(out))
     return df.join(F.broadcast(w), label)       # one row per class
+
+
+def spread_rows(df: DataFrame, key: str = "user_id") -> DataFrame:
+    """``df`` dealt out evenly for a forest fit, whose time goes with rows times trees: AQE packs rows
+    into tasks by their few bytes, and ranks leave a class in a handful of ranges. The number of
+    tasks follows from the rows alone, so a fit is repeatable on any cluster. A frame of one task stays as it is."""
+    tasks = math.ceil(df.count() / ROWS_PER_FIT_TASK)
+    return df if tasks <= 1 else df.repartition(tasks, key).sortWithinPartitions(key)
